@@ -12,6 +12,10 @@ from ledgerloom.functions.text import NON_TERM
 from ledgerloom.operators.index import B, K1, NAMES
 from ledgerloom.session import Namespace
 
+# Parts ranked on their own first, so that the final ranking sees no more than
+# this many times k rows.
+PARTS = 512
+
 
 def install_order_lookup(spark: SparkSession, ns: Namespace) -> None:
     """``search_order_info(order_id)``: the order's Silver row, or none."""
@@ -44,16 +48,23 @@ def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
               SELECT explode(split(lower(question), '{pattern}')) AS term) WHERE term <> ''
           ), scored AS (
             SELECT p.chunk_id, round(sum(
-                     ln(1 + (c.n_passages - v.df + 0.5D) / (v.df + 0.5D)) * p.tf * {K1 + 1}D
-                     / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / c.mean_terms))), 6) AS score
-            FROM wanted w
+                     ln(1 + (n_passages - v.df + 0.5D) / (v.df + 0.5D)) * p.tf * {K1 + 1}D
+                     / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / mean_terms))), 6) AS score
+            FROM (SELECT term, (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
+                         (SELECT mean_terms FROM {table["corpus"]}) AS mean_terms
+                  FROM wanted) w
             JOIN {table["vocabulary"]} v ON v.term = w.term
             JOIN {table["postings"]} p ON p.term = w.term
-            JOIN {table["corpus"]} c ON c.n_passages >= v.df
             GROUP BY p.chunk_id
+          ), leading AS (
+            SELECT chunk_id, score, row_number() OVER (
+                     PARTITION BY pmod(xxhash64(chunk_id), {PARTS})
+                     ORDER BY score DESC, chunk_id) AS place
+            FROM scored
           ), ranked AS (
             SELECT chunk_id, score,
-                   row_number() OVER (ORDER BY score DESC, chunk_id) AS rank FROM scored
+                   row_number() OVER (ORDER BY score DESC, chunk_id) AS rank
+            FROM leading WHERE place <= k
           )
           SELECT r.rank, r.chunk_id, r.score, t.text
           FROM ranked r JOIN {table["passages"]} t ON t.chunk_id = r.chunk_id

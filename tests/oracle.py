@@ -1,0 +1,65 @@
+"""Run a registered query in Spark and its SQL in DuckDB and compare."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        path = Path(sf_dir) / f"{name}.parquet"
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def plain(value):
+    if isinstance(value, decimal.Decimal):
+        return ("decimal", str(value))
+    if isinstance(value, dt.datetime):
+        return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, float):
+        return repr(value)
+    return value
+
+
+def kind(type_name: str) -> str:
+    """A type name both engines share."""
+    name = type_name.lower().split("(")[0]
+    return {
+        "integer": "int", "varchar": "string", "timestamp_ntz": "timestamp", "long": "bigint",
+    }.get(name, name)
+
+
+def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    """What differs, or None."""
+    relation = con.sql(sql)
+    columns = sorted(spark_df.columns)
+    if columns != sorted(relation.columns):
+        return f"columns {columns} and {sorted(relation.columns)}"
+    ours = {f.name: kind(f.dataType.simpleString()) for f in spark_df.schema.fields}
+    theirs = {c: kind(str(t)) for c, t in zip(relation.columns, relation.types, strict=True)}
+    if ours != theirs:
+        return f"types {ours} and {theirs}"
+    order = [relation.columns.index(c) for c in columns]
+    left = Counter(tuple(plain(r[c]) for c in columns) for r in spark_df.collect())
+    right = Counter(tuple(plain(r[i]) for i in order) for r in relation.fetchall())
+    if left == right:
+        return None
+    only_left, only_right = left - right, right - left
+    return (
+        f"{sum(left.values())} and {sum(right.values())} rows; "
+        f"{sum(only_left.values())} only in Spark, e.g. {list(only_left)[:2]}; "
+        f"{sum(only_right.values())} only in SQL, e.g. {list(only_right)[:2]}"
+    )
