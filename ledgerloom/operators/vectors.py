@@ -40,7 +40,7 @@ def cosine_scorer(query_ids: np.ndarray, queries: np.ndarray, k: int):
                     queries @ directions(part.column("embedding")).T,
                     part.column("vec_id").to_numpy(),
                 )
-        kept = found.kept
+        kept = found.thin_out()
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(query_ids[kept["query"].to_numpy(dtype=int)], pa.int64()),

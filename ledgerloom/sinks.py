@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,15 @@ def create_once(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
 def replace_table(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
     """Create ``table`` from ``df`` or replace its rows and schema.
 
-    ``df`` may read the table it replaces: it is staged first.
+    ``df`` may read the table it replaces: only then is it staged first.
     """
-    spark = df.sparkSession
-    stage(df, "replace").write.mode("overwrite").format(fmt).saveAsTable(table)
-    return spark.table(table)
+    try:
+        df.write.mode("overwrite").format(fmt).saveAsTable(table)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
+            raise
+        stage(df, "replace").write.mode("overwrite").format(fmt).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def replace_view(spark: SparkSession, view: str, query: str) -> DataFrame:

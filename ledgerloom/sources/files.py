@@ -51,7 +51,7 @@ def read_bronze(
 
 
 def landing_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """What has landed: one row per file. Contents are not read."""
+    """What has landed: one row per file that is not empty. Contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

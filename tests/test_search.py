@@ -1,0 +1,203 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import index as index_module
+from ledgerloom.operators.index import build_index, index_report
+from ledgerloom.operators.passages import chunk
+from ledgerloom.operators.ranking import best
+from ledgerloom.operators.search import (
+    distinct_questions,
+    score_by_postings,
+    score_by_scan,
+    search_rules,
+    slabs,
+    weigh_terms,
+)
+
+
+def passages_of(spark, text, **kwargs):
+    df = spark.createDataFrame([("d", text)], "doc_id string, text string")
+    rows = chunk(df, **kwargs).orderBy("chunk_no").collect()
+    return [(r["chunk_id"], r["text"]) for r in rows]
+
+
+def test_no_words_no_passage(spark):
+    assert passages_of(spark, "") == passages_of(spark, " \n ") == []
+    assert passages_of(spark, None) == []
+    assert passages_of(spark, "a") == [("d#0", "a")]
+
+
+@pytest.mark.parametrize("n", [119, 120, 121, 140, 219, 220, 221, 1000])
+def test_passages_cover_all_words(spark, n):
+    text = [f"w{i}" for i in range(n)]
+    cut = passages_of(spark, " \n".join(text))
+    starts = range(0, max(n - 21, 0) + 1, 100)
+    assert cut == [(f"d#{i}", " ".join(text[s : s + 120])) for i, s in enumerate(starts)]
+    assert cut[-1][1].split()[-1] == text[-1]
+
+
+def test_long_document_is_cut_in_linear_time(spark):
+    cut = passages_of(spark, "word " * 400_000)
+    assert len(cut) == 4000
+
+
+def test_passage_sizes_are_checked(spark):
+    with pytest.raises(ValueError):
+        passages_of(spark, "a", size=10, overlap=10)
+    assert [t for _, t in passages_of(spark, "a b c d e", size=3, overlap=1)] == ["a b c", "c d e"]
+
+
+WORDS = ["the"] * 30 + ["of"] * 12 + [f"w{i}" for i in range(60)]
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Passages of which a third are copies of one; "the" is in most of them."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(WORDS, k=rng.randint(1, 40))) for _ in range(200)]
+    texts += [texts[0]] * 100 + ["", "!?"]
+    return {f"p{i:03d}": t for i, t in enumerate(texts)}
+
+
+@pytest.fixture(scope="module")
+def asked():
+    rng = random.Random(6)
+    texts = [" ".join(rng.sample(WORDS, k=rng.randint(1, 12))) for _ in range(40)]
+    texts += ["the of the"] * 20 + ["unknownword", "", "the"]
+    return {i: t for i, t in enumerate(texts)}
+
+
+@pytest.fixture(scope="module")
+def built(spark, corpus):
+    before, index_module.BLOCK_ROWS = index_module.BLOCK_ROWS, 50
+    rows = [("d", i, key, text) for i, (key, text) in enumerate(corpus.items())]
+    chunks = spark.createDataFrame(
+        rows, "doc_id string, chunk_no int, chunk_id string, text string"
+    )
+    yield build_index(chunks)
+    index_module.BLOCK_ROWS = before
+
+
+@pytest.fixture(scope="module")
+def questions(spark, asked):
+    return spark.createDataFrame(list(asked.items()), "question_id int, text string")
+
+
+def brute_force(corpus, asked, k):
+    counts = {c: Counter(t.lower().split()) if t != "!?" else Counter() for c, t in corpus.items()}
+    df = Counter(term for c in counts.values() for term in c)
+    n, mean = len(counts), sum(sum(c.values()) for c in counts.values()) / len(counts)
+    out = []
+    for q, text in asked.items():
+        wanted = sorted(set(text.lower().split()))
+        scores = []
+        for c, have in counts.items():
+            if not any(t in have for t in wanted):
+                continue
+            norm = 1.2 * (0.25 + 0.75 * sum(have.values()) / mean)
+            score = sum(
+                math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * have[t] * 2.2 / (have[t] + norm)
+                for t in wanted
+                if t in have
+            )
+            scores.append((-round(score, 6), c))
+        out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def listed(hits):
+    rows = hits.select("question_id", "rank", "chunk_id", "score").collect()
+    return sorted((r[0], r[1], r[2], r[3]) for r in rows)
+
+
+def same(ours, expected):
+    assert [r[:3] for r in ours] == [r[:3] for r in expected]
+    assert [r[3] for r in ours] == pytest.approx([r[3] for r in expected], abs=1e-6)
+
+
+@pytest.mark.parametrize("k", [1, 5, 150])
+def test_search_equals_brute_force(built, questions, corpus, asked, k):
+    same(listed(search_rules(questions, built, k)), brute_force(corpus, asked, k))
+
+
+@pytest.mark.parametrize("sent", [60, 1_000_000])
+def test_both_ways_give_the_same(built, questions, corpus, asked, sent):
+    distinct = distinct_questions(questions)
+    weighted = weigh_terms(distinct, built)
+    for scored in (
+        score_by_postings(weighted, built),
+        score_by_scan(weighted, built, 5, sent_terms=sent),
+    ):
+        hits = best(scored, "query_id", "chunk_id", 5)
+        joined = distinct.select("question_id", "query_id").join(hits, "query_id")
+        same(listed(joined), brute_force(corpus, asked, 5))
+
+
+def test_few_questions_go_by_postings_many_by_scan(spark, built, questions, monkeypatch):
+    from ledgerloom.operators import search
+
+    taken = []
+    for way in ("score_by_postings", "score_by_scan"):
+        real = getattr(search, way)
+        monkeypatch.setattr(
+            search, way, lambda *a, real=real, way=way: (taken.append(way), real(*a))[1]
+        )
+    one = spark.createDataFrame([(1, "w1 w2")], "question_id int, text string")
+    assert listed(search_rules(one, built, 3))
+    assert listed(search_rules(questions, built, 3))
+    assert taken == ["score_by_postings", "score_by_scan"]
+
+
+def test_slabs_hold_whole_queries_and_at_most_the_limit(built, questions, asked):
+    pieces = slabs(weigh_terms(distinct_questions(questions), built), 60)
+    assert len(pieces) > 1 and all(len(p) <= 60 for p in pieces)
+    seen = [bytes(q) for p in pieces for q in p["query_id"].unique()]
+    known = {frozenset(t.split()) for t in asked.values() if t not in ("", "unknownword")}
+    assert len(seen) == len(set(seen)) == len(known)
+
+
+def test_common_terms_lie_in_several_blocks(built):
+    the = built.vocabulary.where("term = 'the'").first()
+    assert the["n_blocks"] == math.ceil(the["df"] / 50) > 1
+    blocks = built.postings.where("term = 'the'").groupBy("block").count().collect()
+    assert len(blocks) == the["n_blocks"]
+
+
+def test_no_question_matches(spark, built):
+    none = spark.createDataFrame([(1, "zzz"), (2, "")], "question_id int, text string")
+    assert listed(search_rules(none, built, 3)) == []
+
+
+def test_index_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id string, chunk_id string, text string")
+    built = build_index(empty)
+    one = spark.createDataFrame([(1, "w1")], "question_id int, text string")
+    assert listed(search_rules(one, built, 3)) == []
+    assert index_report(built).first()["n_passages"] == 0
+
+
+def test_report(built, corpus):
+    row = index_report(built).first().asDict()
+    texts = Counter(corpus.values())
+    assert row["n_passages"] == len(corpus) and row["n_documents"] == 1
+    assert row["n_empty"] == 2 and row["n_repeated_ids"] == 0 and row["complete"]
+    assert row["n_texts"] == len(texts) and row["most_copies"] == max(texts.values())
+    assert row["n_repeated_texts"] == len(corpus) - len(texts)
+
+
+def test_counts_are_those_of_the_text(built, corpus):
+    for r in built.passages.collect():
+        expected = Counter(t for t in corpus[r["chunk_id"]].split() if t != "!?")
+        assert r["counts"] == dict(expected) and r["n_terms"] == sum(expected.values())
+
+
+def test_postings_follow_the_counts(built):
+    listed_terms = built.passages.select("chunk_id", F.explode("counts").alias("term", "tf"))
+    stored = built.postings.select("chunk_id", "term", "tf")
+    assert listed_terms.exceptAll(stored).count() == stored.exceptAll(listed_terms).count() == 0
