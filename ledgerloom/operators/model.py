@@ -50,7 +50,7 @@ def apply_model(
 
     def in_batches(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in series:
-            cut = [texts[i : i + batch_rows] for i in range(0, len(texts), batch_rows)]
+            cut = [texts[i : i + batch_rows] for i in range(0, len(texts), batch_rows)] or [texts]
             yield pd.concat([run(piece) for piece in cut], ignore_index=True)
 
     in_batches.__annotations__ = {

@@ -47,6 +47,16 @@ def test_long_document_is_cut_in_linear_time(spark):
     assert len(cut) == 4000
 
 
+def test_large_passages_and_large_overlaps(spark):
+    text = [f"w{i}" for i in range(60_000)]
+    for size, overlap in ((50_000, 10), (7, 5), (1000, 999)):
+        given = text if size > 7 else text[:50]
+        given = given[:3000] if overlap == 999 else given
+        cut = [t.split() for _, t in passages_of(spark, " ".join(given), size=size, overlap=overlap)]
+        starts = range(0, max(len(given) - overlap - 1, 0) + 1, size - overlap)
+        assert cut == [given[s : s + size] for s in starts]
+
+
 def test_passage_sizes_are_checked(spark):
     with pytest.raises(ValueError):
         passages_of(spark, "a", size=10, overlap=10)
