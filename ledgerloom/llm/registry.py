@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, mixing, simhash, token_counts
+from ledgerloom.llm import byte_bpe, hnsw, mixing, quality, simhash, token_counts, url_rules, voronoi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,11 +28,35 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path, 512)
 
 
+@query
+def op3_hnsw_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    asked = vectors.where(F.col("vec_id") % 100 == 0)
+    return hnsw.nearest(vectors, asked.withColumnRenamed("vec_id", "query_id"), 10)
+
+
 @query
 def op4_source_mixing(spark, sf_dir):
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_url_filter(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_exact_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    asked = vectors.where(F.col("vec_id") % 100 == 0)
+    return voronoi.top_k(vectors, asked.withColumnRenamed("vec_id", "query_id"), 10, 1024)
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
