@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, hnsw, mixing, quality, simhash, token_counts, url_rules, voronoi
+from ledgerloom.llm import byte_bpe, hnsw, mixing, quality, simhash, suffix_dedup, token_counts, url_rules, voronoi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -57,6 +57,11 @@ def op7_quality_classifier(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
