@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import byte_bpe, hnsw, mixing, quality, simhash, suffix_dedup, token_counts, url_rules, voronoi
+from ledgerloom.llm import (
+    byte_bpe,
+    hnsw,
+    mixing,
+    quality,
+    recompression,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    url_rules,
+    voronoi,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -22,6 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    return recompression.digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_token_counts(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
