@@ -12,11 +12,11 @@ before are no longer needed then.
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.staging import stage
@@ -29,12 +29,19 @@ U64 = np.uint64
 ANSWER, DOCUMENT = 0, 1
 
 
-def deal(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
-    """(g, doc_id, text_key, text) of every row, null texts as empty, and the number of buckets."""
+def text_key(text: Column) -> Column:
+    """Tells texts of one id apart; null is empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def deal(docs: DataFrame, others: Sequence[str] = (), group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
+    """(g, doc_id, text_key, text, others) of every row, null texts as empty, and the number
+    of buckets."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = size // group_bytes + 1
     text = F.coalesce("text", F.lit(""))
-    named = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
+    carried = F.struct(*others).alias("others") if others else F.lit(None).cast("string").alias("others")
+    named = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), text.alias("text"), carried)
     g = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(groups)).cast("int")
     return named.withColumn("g", g), int(groups // GROUPS_A_BUCKET + 1)
 
@@ -45,14 +52,11 @@ def meet(dealt: DataFrame, answers: DataFrame | None, run: Callable, schema: str
     ``answers`` are rows of g and binary columns; ``run`` gets a list of bytes for each of
     them and the documents as an Arrow table, and yields record batches.
     """
-    documents = dealt.select("g", F.lit(DOCUMENT).alias("kind"), "doc_id", "text_key", "text")
+    documents = dealt.select("g", F.lit(DOCUMENT).alias("kind"), "doc_id", "text_key", "text", "others")
     names = [c for c in answers.columns if c != "g"] if answers is not None else []
     if names:
-        blank = [F.lit(None).cast("binary").alias(c) for c in names]
-        kinds = ["bigint", "bigint", "string"]
-        empty = [F.lit(None).cast(t).alias(c) for c, t in zip(["doc_id", "text_key", "text"], kinds, strict=True)]
-        told = answers.select("g", F.lit(ANSWER).alias("kind"), *empty, *names)
-        documents = told.unionByName(documents.select("*", *blank))
+        told = answers.select("g", F.lit(ANSWER).alias("kind"), *names)
+        documents = documents.unionByName(told, allowMissingColumns=True)
     together = documents.repartition("g").sortWithinPartitions("g", "kind")
 
     def rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

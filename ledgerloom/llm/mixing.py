@@ -22,10 +22,14 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from ledgerloom.llm.groups import text_key
+from ledgerloom.llm.texts import slices, utf8, word_bounds
 from ledgerloom.staging import stage
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -215,3 +219,52 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target",
         (F.col("copies") * F.col("size") + extra).alias("taken"),
     )
+
+
+@F.arrow_udf(T.StringType())
+def cut_words(texts: pa.Array, parts: pa.Array) -> pa.Array:
+    """The words of the ranges of each text, each range as it stands, parted by a space."""
+    out = []
+    for a, b in slices(texts, 8 << 20):
+        data, offsets = utf8(texts.slice(a, b - a))
+        starts, ends, first = word_bounds(data, offsets)
+        line = data.tobytes()
+        for i, ranges in enumerate(parts.slice(a, b - a).to_pylist()):
+            at = first[i]
+            spans = [(starts[at + r["first"]], ends[at + r["end"] - 1]) for r in ranges or []]
+            out.append(" ".join(line[x:y].decode("utf-8", "replace") for x, y in spans))
+    return pa.array(out, pa.string())
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The rows of the mix: a document as often as it is taken whole, and its parts as one more.
+
+    Equal rows are numbered, so that each meets one row of the plan.
+    """
+    numbered = W.partitionBy("doc_id", "text_key").orderBy("source")
+    keyed = docs.withColumn("text_key", text_key(F.col("text")))
+    plan = mixed(keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), "text_key"))
+    plan = plan.where((F.col("copies") > 0) | (F.size("parts") > 0)).select(
+        F.col("doc_id").alias("p_id"), F.col("text_key").alias("p_key"), "copies", "parts",
+        F.row_number().over(numbered).alias("p_place"),
+    )
+    rows = keyed.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", "text_key", F.row_number().over(numbered).alias("place")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
+    met = rows.join(plan, same & (F.col("place") == F.col("p_place"))).withColumn(
+        "cut", F.when(F.size("parts") > 0, cut_words(F.col("row.text"), F.col("parts")))
+    )
+    texts = F.concat(
+        F.array_repeat("row.text", F.col("copies").cast("int")),
+        F.when(F.size("parts") > 0, F.array("cut")).otherwise(F.array().cast("array<string>")),
+    )
+    taken = met.select("row", F.explode(texts).alias("taken"))
+    return taken.select(
+        *[
+            F.col("taken").alias(c) if c == "text"
+            else F.length("taken").cast("long").alias(c) if c == "n_chars"
+            else F.col("row")[c].alias(c)
+            for c in docs.columns
+        ]
+    )

@@ -32,7 +32,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
+from ledgerloom.llm.groups import text_key
 from ledgerloom.llm.texts import ranges_within, slices, utf8, word_bounds
 from ledgerloom.staging import stage
 
@@ -323,8 +325,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, print, group (a fingerprint that names the component) and component_id."""
-    marked = stage(docs.select("doc_id", fingerprint(F.col("text")).alias("print")), "prints")
+    """doc_id, text_key, print, group (a fingerprint that names the component), component_id."""
+    marked = docs.select(
+        "doc_id", text_key(F.col("text")).alias("text_key"), fingerprint(F.col("text")).alias("print")
+    )
+    marked = stage(marked, "prints")
     distinct = stage(marked.groupBy("print").agg(F.min("doc_id").alias("low")), "distinct")
     roots = components(stage(links(distinct), "links"))
     named = distinct.join(
@@ -333,7 +338,24 @@ def grouped(docs: DataFrame) -> DataFrame:
     named = stage(named.select("print", "low", "group"), "named")
     lowest = named.groupBy("group").agg(F.min("low").alias("component_id"))
     of_print = named.join(lowest, "group").select("print", "group", "component_id")
-    return marked.join(of_print, "print").select("doc_id", "print", "group", "component_id")
+    return marked.join(of_print, "print").select(
+        "doc_id", "text_key", "print", "group", "component_id"
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of each component, with all its columns.
+
+    Of rows with that id, the one whose text has the smallest hash; of equal rows, one.
+    """
+    found = grouped(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = found.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    chosen = first.select(F.col("first.doc_id").alias("chosen_id"), F.col("first.text_key").alias("chosen_key"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), text_key(F.col("text")).alias("text_key"), "doc_id")
+    same = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & (F.col("text_key") == F.col("chosen_key"))
+    kept = keyed.join(chosen, same, "left_semi")
+    place = F.row_number().over(W.partitionBy("doc_id", "text_key").orderBy("doc_id"))
+    return kept.withColumn("place", place).where("place = 1").select("row.*")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ ids are documents of their own and not earlier than each other; a null id comes
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -275,9 +275,9 @@ def spans_of_groups(found: DataFrame) -> DataFrame:
     return found.mapInArrow(packed, "g int, spans binary")
 
 
-def removals(docs: DataFrame, run, schema: str) -> DataFrame:
+def removals(docs: DataFrame, run, schema: str, others: Sequence[str] = ()) -> DataFrame:
     """``run(documents, data, offsets, removed)`` for every group, ``removed`` by byte."""
-    dealt, buckets = deal(docs)
+    dealt, buckets = deal(docs, others)
     keys = settle(shared_keys(meet(dealt, None, send_keys(buckets), KEYS)), "keys")
     pieces = meet(dealt, keys, send_pieces, PIECE)
     sorted_ = pieces.repartition("key").sortWithinPartitions("key")
@@ -343,11 +343,18 @@ def text_rows(documents: pa.Table, data, offsets, removed) -> pa.RecordBatch:
         pa.string(), len(offsets) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(kept)]
     )
     return pa.record_batch(
-        [documents["doc_id"].combine_chunks(), documents["text_key"].combine_chunks(), texts],
-        names=["doc_id", "text_key", "text"],
+        [documents["doc_id"].combine_chunks(), texts, documents["others"].combine_chunks()],
+        names=["doc_id", "text", "others"],
     )
 
 
 def remaining_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (the hash of the text given) and what remains of the text."""
-    return removals(docs, text_rows, "doc_id long, text_key long, text string")
+    """The documents with what remains of their texts; ``n_chars``, if there, is counted anew."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not others:
+        return removals(docs, text_rows, "doc_id long, text string, others string").drop("others")
+    kind = docs.select(F.struct(*others)).schema[0].dataType.simpleString()
+    rest = removals(docs, text_rows, f"doc_id long, text string, others {kind}", others)
+    columns = [F.col(c) if c in ("doc_id", "text") else F.col("others")[c].alias(c) for c in docs.columns]
+    kept = rest.select(*columns)
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in others else kept
