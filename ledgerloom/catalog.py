@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ledgerloom.functions.text import NON_TERM
-from ledgerloom.operators.index import B, K1, NAMES
+from ledgerloom.operators.index import B, BUCKETS, K1, NAMES
+from ledgerloom.operators.ranking import STEPS
 from ledgerloom.session import Namespace
 
 # Parts ranked on their own first, so that the final ranking sees no more than
@@ -47,15 +48,20 @@ def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
             SELECT DISTINCT term FROM (
               SELECT explode(split(lower(question), '{pattern}')) AS term) WHERE term <> ''
           ), scored AS (
-            SELECT p.chunk_id, round(sum(
-                     ln(1 + (n_passages - v.df + 0.5D) / (v.df + 0.5D)) * p.tf * {K1 + 1}D
-                     / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / mean_terms))), 6) AS score
-            FROM (SELECT term, (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
-                         (SELECT mean_terms FROM {table["corpus"]}) AS mean_terms
-                  FROM wanted) w
-            JOIN {table["vocabulary"]} v ON v.term = w.term
-            JOIN {table["postings"]} p ON p.term = w.term
-            GROUP BY p.chunk_id
+            SELECT p.chunk_id, sum(cast(floor((cast(floor(w.idf * (p.tf * {K1 + 1}D
+                     / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / w.mean_terms)))
+                     * 1e12D + 0.5D) AS DOUBLE) + 500000D) / 1000000D) AS BIGINT))
+                   / {STEPS}D AS score
+            FROM (SELECT v.term, a.mean_terms, pmod(xxhash64(v.term), {BUCKETS}) AS bucket,
+                         ln(1 + (a.n_passages - v.df + 0.5D) / (v.df + 0.5D)) AS idf,
+                         explode(sequence(0, v.n_blocks - 1)) AS block
+                  FROM (SELECT term, (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
+                               (SELECT mean_terms FROM {table["corpus"]}) AS mean_terms
+                        FROM wanted) a
+                  JOIN {table["vocabulary"]} v ON v.term = a.term) w
+            JOIN {table["postings"]} p
+              ON p.bucket = w.bucket AND p.term = w.term AND p.block = w.block
+            GROUP BY p.chunk_id HAVING score > 0
           ), leading AS (
             SELECT chunk_id, score, row_number() OVER (
                      PARTITION BY pmod(xxhash64(chunk_id), {PARTS})

@@ -89,10 +89,12 @@ def search_ctes(questions: str, k: int) -> str:
             FROM (SELECT question_id, unnest({term_list("text")}) AS term FROM ({questions}))),
   scored AS (
     SELECT question_id, chunk_id,
-           round(sum(ln(1 + (n_passages - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
-                     * tf * 2.2::DOUBLE
-                     / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n_terms / mean_terms))
-                ), 6) AS score
+           sum(cast(floor((floor(
+                 ln(1 + (n_passages - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))
+                 * (tf * 2.2::DOUBLE
+                    / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * n_terms / mean_terms)))
+                 * 1e12::DOUBLE + 0.5::DOUBLE) + 5e5::DOUBLE) / 1e6::DOUBLE) AS BIGINT))
+             / 1e6::DOUBLE AS score
     FROM asked JOIN vocabulary USING (term) JOIN postings USING (term) CROSS JOIN corpus
     GROUP BY 1, 2),
   hits AS (
@@ -120,11 +122,28 @@ GUESSES = """
   SELECT doc_id AS case_id, lang, n_chars, quality
   FROM labels JOIN documents USING (doc_id)"""
 
+DELTA = f"""
+      WITH a AS (SELECT case_id, cast((n_chars >= 400) = (quality = 1) AS INT)::DOUBLE AS score_a
+                 FROM ({GUESSES})),
+           b AS (SELECT case_id, cast((n_chars >= 1500) = (quality = 1) AS INT)::DOUBLE AS score_b
+                 FROM ({GUESSES}))
+      SELECT case_id, score_a, score_b,
+             CASE WHEN score_a IS NULL THEN 'added' WHEN score_b IS NULL THEN 'removed'
+                  WHEN score_b > score_a THEN 'improved' WHEN score_b < score_a THEN 'regressed'
+                  ELSE 'same' END AS change
+      FROM a FULL JOIN b USING (case_id)"""
+
 ORACLE: dict[str, str] = {
     "scan_orders": """
       SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice FROM orders""",
     "bronze_orders": "SELECT *, 'orders.parquet' AS source_file FROM orders",
-    "bronze_stream_events": "SELECT *, 'events.parquet' AS source_file FROM events",
+    "bronze_stream_events": """
+      SELECT *, CASE WHEN event_id % 4 = 3 THEN event_type || '!' END AS note,
+             true AS has_source FROM events""",
+    "session_scalars": """
+      SELECT o_orderstatus, count(*) AS n_orders, true AS user_known,
+             true AS user_is_session_user, true AS catalog_is_current
+      FROM orders GROUP BY 1""",
     "rules_documents": DOCUMENTS,
     "user_slug": """
       SELECT c_custkey,
@@ -133,8 +152,9 @@ ORACLE: dict[str, str] = {
                '[^0-9a-zA-Z]', '_', 'g')) AS schema_name
       FROM customer""",
     "namespace_setup": f"""
-      SELECT 'orders_silver' AS table_name, count(*) AS n_rows FROM ({SILVER})
-      UNION ALL SELECT 'sales_monthly_gold', count(*) FROM ({GOLD})""",
+      SELECT *, true AS is_slug_of_user, true AS is_fallback_catalog, true AS is_current FROM (
+        SELECT 'orders_silver' AS table_name, count(*) AS n_rows FROM ({SILVER})
+        UNION ALL SELECT 'sales_monthly_gold', count(*) FROM ({GOLD}))""",
     "ctas_idempotent": SILVER_FLAT,
     "overwrite_table": GOLD,
     "record_request": f"""
@@ -159,8 +179,9 @@ ORACLE: dict[str, str] = {
              total_sales - previous_sales AS change,
              round(cast(total_sales - previous_sales AS DOUBLE)
                    / nullif(cast(previous_sales AS DOUBLE), 0) * 100, 2) AS change_pct
-      FROM (SELECT *, lag(total_sales) OVER (PARTITION BY market_segment ORDER BY order_month)
-                        AS previous_sales FROM ({GOLD}))""",
+      FROM (SELECT a.*, b.total_sales AS previous_sales FROM ({GOLD}) a
+            LEFT JOIN ({GOLD}) b ON b.market_segment = a.market_segment
+                                AND b.order_month = a.order_month - INTERVAL 1 MONTH)""",
     "rules_chunks": CHUNKS,
     "rules_index": f"WITH {INDEX_CTES} SELECT term, chunk_id, tf, n_terms FROM postings",
     "rules_vocabulary": f"WITH {INDEX_CTES} SELECT term, df FROM vocabulary",
@@ -181,6 +202,15 @@ ORACLE: dict[str, str] = {
     "search_rules": f"""
       WITH {search_ctes("SELECT item_id AS question_id, text FROM benchmark", 5)}
       SELECT question_id, rank, chunk_id, score FROM hits""",
+    "search_rules_by_postings": f"""
+      WITH {search_ctes("SELECT item_id AS question_id, text FROM benchmark", 5)}
+      SELECT question_id, rank, chunk_id, score FROM hits""",
+    "search_rules_sql": f"""
+      WITH {search_ctes("SELECT 0 AS question_id, min(text) AS text FROM benchmark", 5)}
+      SELECT rank, chunk_id, score, p.text FROM hits JOIN passages p USING (chunk_id)""",
+    "search_order_info_sql": f"""
+      SELECT q.question_id, s.*
+      FROM ({PARSED}) q JOIN ({SILVER_FLAT}) s ON s.order_id = q.order_id""",
     "search_vectors": """
       WITH cells AS (
         SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding) AS x
@@ -191,7 +221,9 @@ ORACLE: dict[str, str] = {
         GROUP BY 1),
       scored AS (
         SELECT query_id, vec_id,
-               round(list_cosine_similarity(centre, cast(embedding AS DOUBLE[])), 6) AS score
+               floor((floor(list_cosine_similarity(centre, cast(embedding AS DOUBLE[]))
+                            * 1e12::DOUBLE + 0.5::DOUBLE) + 5e5::DOUBLE) / 1e6::DOUBLE)
+                 / 1e6::DOUBLE AS score
         FROM queries CROSS JOIN embeddings)
       SELECT cast(query_id AS BIGINT) AS query_id, cast(rank AS INTEGER) AS rank, vec_id, score
       FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
@@ -219,9 +251,10 @@ ORACLE: dict[str, str] = {
       FROM documents""",
     "apply_model": """
       SELECT doc_id,
-             CASE WHEN length('Is this document long?' || chr(10) || chr(10) || text) >= 1000
+             CASE WHEN contains(text, '!! ') THEN NULL
+                  WHEN length('Is this document long?' || chr(10) || chr(10) || text) >= 1000
                   THEN 'long' ELSE 'short' END AS answer,
-             cast(NULL AS VARCHAR) AS answer_error
+             CASE WHEN contains(text, '!! ') THEN 'ValueError: shouting' END AS answer_error
       FROM documents""",
     "evaluate_answers": f"""
       WITH counts AS (
@@ -237,14 +270,11 @@ ORACLE: dict[str, str] = {
              round(2 * tp / nullif(cast(2 * tp + fp + fn AS DOUBLE), 0), 6) AS f1,
              round(hit / nullif(cast(n_cases AS DOUBLE), 0), 6) AS hit_rate
       FROM counts""",
-    "evaluate_delta": f"""
-      WITH a AS (SELECT case_id, cast((n_chars >= 400) = (quality = 1) AS INT)::DOUBLE AS score_a
-                 FROM ({GUESSES}) WHERE lang <> 'de'),
-           b AS (SELECT case_id, cast((n_chars >= 1500) = (quality = 1) AS INT)::DOUBLE AS score_b
-                 FROM ({GUESSES}) WHERE lang <> 'fr')
-      SELECT case_id, score_a, score_b,
-             CASE WHEN score_a IS NULL THEN 'added' WHEN score_b IS NULL THEN 'removed'
-                  WHEN score_b > score_a THEN 'improved' WHEN score_b < score_a THEN 'regressed'
-                  ELSE 'same' END AS change
-      FROM a FULL JOIN b USING (case_id)""",
+    "evaluate_delta": DELTA,
+    "delta_summary": f"SELECT change, count(*) AS n_cases FROM ({DELTA}) GROUP BY 1",
+    "score_cases": f"""
+      SELECT case_id, quality, cast(n_chars >= 400 AS INT) AS guess,
+             abs(cast(n_chars >= 400 AS INT) - quality) AS off_by,
+             cast(n_chars >= 400 AS INT) = quality AS "right"
+      FROM ({GUESSES})""",
 }

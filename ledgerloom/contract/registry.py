@@ -17,29 +17,32 @@ from ledgerloom.contract.tables import (
     private_namespace,
     questions,
     silver,
+    silver_lookup,
     stored_index,
     table,
 )
 from ledgerloom.functions import parse_order_id, user_slug
+from ledgerloom.catalog import install_order_lookup, install_rule_search
 from ledgerloom.operators.answers import (
     answer,
     compare,
+    evidence,
     record_request,
     requests_from,
     search_order_info,
 )
-from ledgerloom.operators.index import build_index, index_report
+from ledgerloom.operators.index import build_index, in_namespace, index_report
 from ledgerloom.operators.model import apply_model, prompt
-from ledgerloom.operators.scoring import evaluate, evaluate_delta
+from ledgerloom.operators.scoring import delta_summary, evaluate, evaluate_delta, score_cases
 from ledgerloom.operators.search import search_rules
 from ledgerloom.operators.vectors import centroids, search_vectors
 from ledgerloom.plans import reports
 from ledgerloom.plans.medallion import set_up, to_gold
-from ledgerloom.session import open_namespace
+from ledgerloom.session import open_namespace, session_facts
 from ledgerloom.sinks import create_once, replace_table
-from ledgerloom.sources import landing_files, read_bronze
+from ledgerloom.sources import read_bronze
 from ledgerloom.sources.documents import first_line
-from ledgerloom.staging import fresh_path
+from ledgerloom.staging import fresh_path, stage
 from ledgerloom.streaming import ingest_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,16 +74,27 @@ def bronze_orders(spark, sf_dir):
 
 @query("bronze_stream_events")
 def bronze_stream_events(spark, sf_dir):
-    source = f"{sf_dir}/events.parquet*"
-    schema = table(spark, sf_dir, "events").schema
+    """Events land in four drops; the last two arrive after a first run, and the very
+    last has one more column."""
+    events = table(spark, sf_dir, "events")
+    landing = fresh_path(spark, "landing")
     target, checkpoint = fresh_path(spark, "events"), fresh_path(spark, "progress")
-    ingest_files(spark, source, target, checkpoint, schema)
-    return ingest_files(spark, source, target, checkpoint, schema)
-
-
-@query("landing_files")
-def landing_files_list(spark, sf_dir):
-    return landing_files(spark, sf_dir, "*.parquet").select("file_name", "n_bytes")
+    drop = F.pmod("event_id", F.lit(4))
+
+    def arrive(number: int, rows: DataFrame) -> None:
+        rows.where(drop == number).write.parquet(f"{landing}/drop{number}")
+
+    noted = events.withColumn("note", F.concat("event_type", F.lit("!")))
+    arrive(0, events)
+    arrive(1, events)
+    ingest_files(spark, f"{landing}/*", target, checkpoint, noted.schema)
+    arrive(2, events)
+    arrive(3, noted)
+    for _ in range(2):
+        stored = ingest_files(spark, f"{landing}/*", target, checkpoint, noted.schema)
+    return stored.select(
+        *events.columns, "note", F.col("source_file").isNotNull().alias("has_source")
+    )
 
 
 @query("rules_documents")
@@ -93,11 +107,10 @@ def rules_documents(spark, sf_dir):
 
 @query("session_scalars")
 def session_scalars(spark, sf_dir):
-    return table(spark, sf_dir, "orders").agg(
-        F.current_user().alias("user_name"),
-        F.current_catalog().alias("catalog_name"),
-        F.count("*").alias("n_orders"),
-    )
+    facts = [fact.alias(name) for name, fact in session_facts(spark).items()]
+    return table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(
+        F.count("*").alias("n_orders")
+    ).select("*", *facts)
 
 
 @query("user_slug")
@@ -112,8 +125,17 @@ def user_slugs(spark, sf_dir):
 def namespace_setup(spark, sf_dir):
     inputs = [table(spark, sf_dir, t) for t in ("orders", "customer", "nation")]
     with private_namespace(spark) as private:
+        before = spark.catalog.currentCatalog()
         set_up(spark, *inputs, **private)
-        return set_up(spark, *inputs, **private).status().select("table_name", "n_rows")
+        made = set_up(spark, *inputs, **private)
+        slug = user_slug(F.col("user_name"), private["prefix"])
+        return made.status().select(
+            "table_name",
+            "n_rows",
+            (F.col("schema_name") == slug).alias("is_slug_of_user"),
+            (F.col("catalog_name") == before).alias("is_fallback_catalog"),
+            (F.lit(spark.catalog.currentDatabase()) == F.col("schema_name")).alias("is_current"),
+        )
 
 
 @query("ctas_idempotent")
@@ -209,6 +231,39 @@ def search_rules_benchmark(spark, sf_dir):
     return search_rules(benchmark_questions(spark, sf_dir), stored_index(spark, sf_dir), 5)
 
 
+@query("search_rules_by_postings")
+def search_rules_by_postings(spark, sf_dir):
+    asked, index = benchmark_questions(spark, sf_dir), stored_index(spark, sf_dir)
+    return search_rules(asked, index, 5, "postings")
+
+
+@query("search_rules_sql")
+def search_rules_sql(spark, sf_dir):
+    """One question, as the function takes one: the smallest of the benchmark."""
+    asked = benchmark_questions(spark, sf_dir).agg(F.min("text")).first()[0]
+    with private_namespace(spark) as private:
+        ns = open_namespace(spark, **private)
+        build_index(chunks(spark, sf_dir), in_namespace(ns))
+        install_rule_search(spark, ns)
+        found = spark.sql("SELECT * FROM search_rules(:asked, 5)", {"asked": asked})
+        return stage(found, "found")
+
+
+@query("search_order_info_sql")
+def search_order_info_sql(spark, sf_dir):
+    """The function over all ids that questions name, laterally."""
+    asked = parse_order_ids(spark, sf_dir).where(F.col("order_id").isNotNull())
+    with private_namespace(spark) as private:
+        ns = open_namespace(spark, **private)
+        create_once(silver(spark, sf_dir), ns.table("orders_silver"))
+        install_order_lookup(spark, ns)
+        found = spark.sql(
+            "SELECT q.question_id, s.* FROM {asked} q, LATERAL search_order_info(q.order_id) s",
+            asked=asked,
+        )
+        return flat(found, "order_amount", to="double")
+
+
 @query("search_vectors")
 def search_vectors_centroids(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
@@ -227,13 +282,14 @@ def parse_order_ids(spark, sf_dir):
 
 @query("search_order_info")
 def order_lookup(spark, sf_dir):
-    found = search_order_info(parse_order_ids(spark, sf_dir), silver(spark, sf_dir))
+    ids = stage(parse_order_ids(spark, sf_dir), "parsed")
+    found = search_order_info(ids, silver_lookup(spark, sf_dir))
     return flat(found, "order_amount", to="double")
 
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer(
-        questions(spark, sf_dir), silver(spark, sf_dir), stored_index(spark, sf_dir), 3
+        questions(spark, sf_dir), silver_lookup(spark, sf_dir), stored_index(spark, sf_dir), 3
     )
 
 
@@ -258,7 +314,8 @@ def supervisor_answers(spark, sf_dir):
 
 @query("compare_routes")
 def compare_routes(spark, sf_dir):
-    return compare(answers(spark, sf_dir))
+    index = stored_index(spark, sf_dir)
+    return compare(evidence(questions(spark, sf_dir), silver_lookup(spark, sf_dir), index, 3))
 
 
 # Models and scoring
@@ -270,8 +327,15 @@ def prompt_table(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", asking.alias("prompt"))
 
 
+# A prompt with this in it makes the stand-in for a model fail.
+SHOUT = "!! "
+
+
 def length_class(prompts: pd.Series) -> pd.Series:
-    """Stands in for a model: any function from prompts to answers will do."""
+    """Stands in for a model: any function from prompts to answers will do. It fails on
+    some prompts, as models do."""
+    if prompts.str.contains(SHOUT, regex=False).any():
+        raise ValueError("shouting")
     return prompts.str.len().ge(1000).map({True: "long", False: "short"})
 
 
@@ -304,13 +368,29 @@ def evaluate_answers(spark, sf_dir):
     )
 
 
+def scored_run(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
+    """Whether each labelled document is guessed right."""
+    hit = (F.col("guess") == F.col("quality")).cast("double")
+    tried = guesses(spark, sf_dir, least).join(expected(spark, sf_dir), "case_id")
+    return tried.select("case_id", hit.alias("score"))
+
+
 @query("evaluate_delta")
 def evaluate_runs_delta(spark, sf_dir):
-    def run(least: int, left_out: str) -> DataFrame:
-        tried = guesses(spark, sf_dir, least).where(F.col("lang") != left_out)
-        hit = (F.col("guess") == F.col("quality")).cast("double")
-        return tried.join(expected(spark, sf_dir), "case_id").select(
-            "case_id", hit.alias("score")
-        )
+    return evaluate_delta(scored_run(spark, sf_dir, 400), scored_run(spark, sf_dir, 1500))
+
+
+@query("delta_summary")
+def delta_of_runs_summary(spark, sf_dir):
+    return delta_summary(evaluate_runs_delta(spark, sf_dir))
+
 
-    return evaluate_delta(run(400, "de"), run(1500, "fr"))
+@query("score_cases")
+def score_lengths(spark, sf_dir):
+    """Scores of any kind: how far off, and whether right."""
+    said = guesses(spark, sf_dir, 400).select("case_id", "guess")
+    scorers = {
+        "off_by": F.abs(F.col("guess") - F.col("quality")),
+        "right": F.col("guess").eqNullSafe(F.col("quality")),
+    }
+    return score_cases(said, expected(spark, sf_dir), scorers)

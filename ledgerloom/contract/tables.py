@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import atexit
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.index import RulesIndex, build_index
 from ledgerloom.operators.passages import chunk
-from ledgerloom.plans.medallion import to_gold, to_silver
+from ledgerloom.plans.medallion import silver_of, to_gold, to_silver
+from ledgerloom.session import configure
 from ledgerloom.sources import documents_from_tables, read_table
 from ledgerloom.staging import fresh_path
 
@@ -19,6 +21,7 @@ _indexes: dict[tuple[str, str], RulesIndex] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    configure(spark)
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +29,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_silver(*(table(spark, sf_dir, t) for t in ("orders", "customer", "nation")))
 
 
+def silver_lookup(spark: SparkSession, sf_dir: str) -> Callable[[DataFrame], DataFrame]:
+    return silver_of(*(table(spark, sf_dir, t) for t in ("orders", "customer", "nation")))
+
+
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_gold(silver(spark, sf_dir))
 
@@ -72,17 +79,41 @@ def benchmark_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @contextmanager
 def private_namespace(spark: SparkSession) -> Iterator[dict[str, str]]:
     """Arguments for a namespace nobody else uses, kept in the checkpoint folder;
-    the session's current schema is put back afterwards."""
+    the session's current schema is put back afterwards, and the schema is dropped with
+    the others when the program ends: what a query returns still reads it."""
     catalog, database = spark.catalog.currentCatalog(), spark.catalog.currentDatabase()
+    prefix = f"handson_{uuid4().hex[:12]}_"
+    _private.append(prefix)
     try:
-        yield {
-            "prefix": f"handson_{uuid4().hex[:12]}_",
-            "location": fresh_path(spark, "schema"),
-        }
+        yield {"prefix": prefix, "location": fresh_path(spark, "schema")}
     finally:
         spark.sql(f"USE `{catalog}`.`{database}`")
 
 
+_private: list[str] = []
+
+
+def drop_private() -> None:
+    """Drop all private schemas with their tables."""
+    spark = SparkSession.getActiveSession()
+    prefixes, _private[:] = tuple(_private), []
+    if spark is None or not prefixes:
+        return
+    for row in spark.sql("SHOW SCHEMAS").collect():
+        if row[0].startswith(prefixes):
+            spark.sql(f"DROP SCHEMA `{row[0]}` CASCADE")
+
+
+def _at_exit() -> None:
+    try:
+        drop_private()
+    except Exception:  # noqa: BLE001 - the session may be gone already
+        pass
+
+
+atexit.register(_at_exit)
+
+
 def flat(df: DataFrame, *money: str, to: str = "bigint") -> DataFrame:
     """Money columns as plain numbers, whose type both engines agree on."""
     return df.withColumns({c: F.col(c).cast(to) for c in money})

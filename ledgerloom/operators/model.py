@@ -28,7 +28,8 @@ def apply_model(
     ``model`` takes a series of prompts and returns as many answers. Only the
     prompts go to Python, as Arrow batches cut into ``batch_rows``. When a batch
     fails, its prompts are tried one by one, so that a bad one costs only its own
-    answer: the answer is null and ``out_error`` says why.
+    answer: the answer is null and ``out_error`` says why. The good prompts of such a
+    batch are thus sent twice, which a model that is paid by the call charges twice.
     """
 
     def one(text: str) -> tuple[object, str | None]:

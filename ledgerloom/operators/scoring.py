@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def one_per_case(rows: DataFrame, case: str) -> DataFrame:
+    """One row per case, the smallest; partial sums only travel, whatever a case's share."""
+    others = [c for c in rows.columns if c != case]
+    if not others:
+        return rows.distinct()
+    return rows.groupBy(case).agg(F.min(F.struct(*others)).alias("row")).select(case, "row.*")
+
+
 def score_cases(
     predictions: DataFrame,
     expected: DataFrame,
@@ -16,11 +24,12 @@ def score_cases(
 ) -> DataFrame:
     """Expected cases joined with their predictions, one column per scorer.
 
-    Scorers are expressions over both sides' columns. A case without a
-    prediction is kept, with nulls on that side; a prediction without an
-    expectation cannot be scored and is left out.
+    Scorers are expressions over both sides' columns. A case expected or predicted
+    several times counts once, with its smallest row. A case without a prediction is
+    kept, with nulls on that side; a prediction without an expectation cannot be scored
+    and is left out.
     """
-    joined = expected.join(predictions, case, "left")
+    joined = one_per_case(expected, case).join(one_per_case(predictions, case), case, "left")
     return joined.select("*", *[scorer.alias(name) for name, scorer in scorers.items()])
 
 

@@ -10,8 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.ranking import TaskBest, best
-from ledgerloom.staging import stage
+from ledgerloom.operators.ranking import TaskBest, best, steps_of
+from ledgerloom.staging import stage, stage_all
 
 # Numbers sent to the tasks at a time (64 MB as doubles), and scores computed
 # at a time.
@@ -28,7 +28,11 @@ def directions(column) -> np.ndarray:
 
 
 def cosine_scorer(query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """A function for ``mapInArrow``: vectors in, their best per query out."""
+    """A function for ``mapInArrow``: vectors in, their best per query out.
+
+    Each product is summed by itself, in the order of the components, so that a score
+    does not depend on what else is in the block.
+    """
     n_rows = max(1, CELLS // len(query_ids))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,7 +41,7 @@ def cosine_scorer(query_ids: np.ndarray, queries: np.ndarray, k: int):
             for start in range(0, batch.num_rows, n_rows):
                 part = batch.slice(start, n_rows)
                 found.offer(
-                    queries @ directions(part.column("embedding")).T,
+                    steps_of(np.einsum("qd,nd->qn", queries, directions(part.column("embedding")))),
                     part.column("vec_id").to_numpy(),
                 )
         kept = found.thin_out()
@@ -45,9 +49,9 @@ def cosine_scorer(query_ids: np.ndarray, queries: np.ndarray, k: int):
             [
                 pa.array(query_ids[kept["query"].to_numpy(dtype=int)], pa.int64()),
                 pa.array(kept["item"].to_numpy(), pa.int64()),
-                pa.array(kept["score"].to_numpy(), pa.float64()),
+                pa.array(kept["steps"].to_numpy(dtype="int64"), pa.int64()),
             ],
-            names=["query_id", "vec_id", "score"],
+            names=["query_id", "vec_id", "steps"],
         )
 
     return score
@@ -77,9 +81,10 @@ def search_vectors(
 
     Each task multiplies its vectors with all queries and passes on its ``k``
     best per query: the vectors are neither shuffled nor paired with queries as
-    rows. Queries are counted first and sent in pieces of bounded size, one scan
-    of the vectors for each. Ids are whole numbers; a vector of another length
-    than the queries' has no cosine with them and is left out.
+    rows. Queries are counted first and sent in pieces of bounded size, one after
+    the other, with one scan of the vectors each. Ids are whole numbers. Vectors
+    and queries of several lengths are refused; null and empty ones, and vectors
+    of zeros, have no cosine and take no part.
     """
     asked = stage(queries.where(F.size("embedding") > 0), "queries")
     shape = asked.agg(
@@ -89,25 +94,29 @@ def search_vectors(
     if shape["n"] and shape["least"] != shape["dim"]:
         raise ValueError("query vectors differ in length")
     spark = asked.sparkSession
-    answers = "query_id long, vec_id long, score double"
+    answers = "query_id long, vec_id long, steps long"
     if not shape["n"]:
         return best(spark.createDataFrame([], answers), "query_id", "vec_id", k).select(
             "query_id", "rank", "vec_id", "score"
         )
     dim = shape["dim"]
-    fitting = vectors.where(F.size("embedding") == dim).select("vec_id", "embedding")
+    fitting = vectors.where(F.size("embedding") > 0).select("vec_id", "embedding")
+    other = fitting.where(F.size("embedding") != dim).select("vec_id").first()
+    if other:
+        raise ValueError(f"vector {other[0]} differs in length from the queries")
     per_piece = max(1, sent_numbers // (2 * dim))
     n_pieces = -(-shape["n"] // per_piece)
-    scored = None
-    for i in range(n_pieces):
-        piece = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_pieces)) == i).toArrow()
-        if piece.num_rows == 0:
-            continue
-        scorer = cosine_scorer(
-            piece.column("query_id").to_numpy(),
-            directions(piece.column("embedding").combine_chunks()),
-            k,
-        )
-        part = fitting.mapInArrow(scorer, answers)
-        scored = part if scored is None else scored.unionByName(part)
-    return best(scored, "query_id", "vec_id", k).select("query_id", "rank", "vec_id", "score")
+
+    def found() -> Iterator[DataFrame]:
+        yield spark.createDataFrame([], answers)
+        for i in range(n_pieces):
+            piece = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_pieces)) == i).toArrow()
+            if piece.num_rows:
+                scorer = cosine_scorer(
+                    piece.column("query_id").to_numpy(),
+                    directions(piece.column("embedding").combine_chunks()),
+                    k,
+                )
+                yield fitting.mapInArrow(scorer, answers)
+
+    return best(stage_all(found(), "scored"), "query_id", "vec_id", k).select("query_id", "rank", "vec_id", "score")

@@ -41,12 +41,15 @@ def top_nations(silver: DataFrame, k: int = 10) -> DataFrame:
 
 
 def month_over_month(gold: DataFrame) -> DataFrame:
-    """Sales of each segment beside its previous month in the table.
+    """Sales of each segment beside those of the calendar month before.
 
-    Gold has one row per month and segment, so the window sees few rows however
-    many orders there are.
+    After a month without sales there is nothing to compare with, and the previous
+    sales are null. Gold has one row per month and segment, so the window sees few
+    rows however many orders there are.
     """
-    before = F.lag("total_sales").over(W.partitionBy("market_segment").orderBy("order_month"))
+    order = W.partitionBy("market_segment").orderBy("order_month")
+    adjacent = F.lag("order_month").over(order) == F.col("order_month") - F.expr("INTERVAL 1 MONTH")
+    before = F.when(adjacent, F.lag("total_sales").over(order))
     change = F.col("total_sales") - F.col("previous_sales")
     previous = F.nullif(F.col("previous_sales").cast("double"), F.lit(0.0))
     return gold.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.names import SCHEMA_PREFIX, user_slug
@@ -45,6 +45,16 @@ def session_user(spark: SparkSession) -> tuple[str, str]:
     return row["user"], row["catalog"]
 
 
+def session_facts(spark: SparkSession) -> dict[str, Column]:
+    """What can be said of user and catalog without naming them."""
+    user, catalog = session_user(spark)
+    return {
+        "user_known": F.current_user() == F.lit(user),
+        "user_is_session_user": F.current_user() == F.session_user(),
+        "catalog_is_current": F.current_catalog() == F.lit(catalog),
+    }
+
+
 def open_namespace(
     spark: SparkSession,
     preferred_catalog: str = PREFERRED_CATALOG,

@@ -21,17 +21,18 @@ def create_once(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def replace_table(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
+def replace_table(df: DataFrame, table: str, fmt: str = "parquet", by: Sequence[str] = ()) -> DataFrame:
     """Create ``table`` from ``df`` or replace its rows and schema.
 
-    ``df`` may read the table it replaces: only then is it staged first.
+    The table lies in folders by the columns ``by``. ``df`` may read the table it replaces: only then is it staged first.
     """
     try:
-        df.write.mode("overwrite").format(fmt).saveAsTable(table)
+        df.write.mode("overwrite").partitionBy(*by).format(fmt).saveAsTable(table)
     except AnalysisException as error:
         if not (error.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
             raise
-        stage(df, "replace").write.mode("overwrite").format(fmt).saveAsTable(table)
+        staged = stage(df, "replace")
+        staged.write.mode("overwrite").partitionBy(*by).format(fmt).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote, urlsplit
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,17 +53,49 @@ def read_bronze(
     return with_source_file(reader.load(path))
 
 
-def landing_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """What has landed: one row per file that is not empty. Contents are not read."""
+def within(spark: SparkSession, folder: str) -> tuple[str, Column]:
+    """The folder's full path, and a file's path within it from the column ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = system.makeQualified(where).toUri().getPath().rstrip("/") + "/"
+    root = re.sub(r"\\(.)", r"\1", full)  # characters of patterns are given escaped
+    begin = F.locate(root, F.col("path")) + len(root)
+    return root, F.substring(F.col("path"), begin, F.length("path"))
+
+
+def files_of(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """``name`` (the path within ``folder``) of every file, empty ones too.
+
+    A scan passes over files without content, so the names come from the list that
+    Spark makes before any scan.
+    """
+    root, _ = within(spark, folder)
+    every = binary_files(spark, folder, pattern).inputFiles()
+    names = [(unquote(urlsplit(f).path)[len(root) :],) for f in every]
+    return spark.createDataFrame(names, "name string")
+
+
+def binary_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(folder)
-        .select(
-            F.col("path"),
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.col("length").alias("n_bytes"),
-            F.col("modificationTime").alias("modified_at"),
-        )
+    )
+
+
+def landing_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """What has landed: one row per file. Contents are not read.
+
+    An empty file has ``n_bytes`` 0 and no time of change.
+    """
+    _, name = within(spark, folder)
+    sized = binary_files(spark, folder, pattern).select(
+        name.alias("name"), "length", F.col("modificationTime").alias("modified_at")
+    )
+    return files_of(spark, folder, pattern).join(sized, "name", "left").select(
+        F.col("name").alias("path"),
+        F.element_at(F.split("name", "/"), -1).alias("file_name"),
+        F.coalesce("length", F.lit(0)).cast("bigint").alias("n_bytes"),
+        "modified_at",
     )

@@ -45,6 +45,13 @@ def test_month_over_month(gold):
     assert rows["A", JAN] == (30, None, None, None)
 
 
+def test_a_month_without_sales_is_not_skipped(spark, gold):
+    april = spark.createDataFrame([(dt.datetime(2024, 4, 1), "A", 1, Decimal(9), Decimal(9))], gold.schema)
+    rows = {(r[0], r[1]): r[2:] for r in reports.month_over_month(gold.union(april)).collect()}
+    assert rows["A", dt.datetime(2024, 4, 1)] == (9, None, None, None)
+    assert rows["A", FEB] == (45, 30, 15, 50.0)
+
+
 def test_top_nations_break_ties_by_name(spark):
     silver = spark.createDataFrame(
         [("B", 5.0), ("A", 5.0), ("C", 1.0)], "nation string, order_amount double"
@@ -97,6 +104,15 @@ def test_evaluate(cases):
     assert row["f1"] == 0.4 and row["hit_rate"] == 0.4
 
 
+def test_a_case_counts_once_however_often_it_is_predicted(spark):
+    expected = spark.createDataFrame([(1, 1), (2, 1)], "case_id int, truth int")
+    said = spark.createDataFrame([(1, 1), (1, 1), (1, 1), (2, 1), (2, 0)], "case_id int, said int")
+    row = evaluate(said, expected, "said", "truth").first()
+    assert (row["n_cases"], row["tp"], row["fn"]) == (2, 1, 1)
+    twice = expected.union(expected)
+    assert evaluate(said, twice, "said", "truth").first()["n_cases"] == 2
+
+
 def test_measures_without_a_base_are_null(spark):
     none = spark.createDataFrame([], "case_id int, said int")
     negative = spark.createDataFrame([(1, 0)], "case_id int, truth int")

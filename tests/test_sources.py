@@ -58,22 +58,34 @@ def test_landing(spark, tmp_path):
     (tmp_path / "a.txt").write_text("abc")
     (tmp_path / "deep").mkdir()
     (tmp_path / "deep" / "b.txt").write_text("x")
-    rows = {r["file_name"]: r["n_bytes"] for r in landing_files(spark, str(tmp_path)).collect()}
-    assert rows == {"a.txt": 3, "b.txt": 1}
+    (tmp_path / "empty.txt").write_text("")
+    found = landing_files(spark, str(tmp_path)).collect()
+    assert {(r["path"], r["file_name"], r["n_bytes"]) for r in found} == {
+        ("a.txt", "a.txt", 3), ("deep/b.txt", "b.txt", 1), ("empty.txt", "empty.txt", 0),
+    }
 
 
-def test_documents_of_several_formats(spark, tmp_path):
+@pytest.mark.parametrize("folder", ["plain", "rules (v1)", "受発注 ルール", "a [b] 100%+"])
+def test_documents_of_several_formats(spark, tmp_path, folder):
+    tmp_path = tmp_path / folder
+    tmp_path.mkdir()
+    where = str(tmp_path) if "[" not in folder else str(tmp_path).replace("[", "\\[").replace("]", "\\]")
     (tmp_path / "rules").mkdir()
     (tmp_path / "rules" / "a.txt").write_text("Returns\nWithin 30 days.")
     (tmp_path / "b.md").write_text("# Terms")
     (tmp_path / "c.HTML").write_text("<title>T</title><p>Body</p>")
     (tmp_path / "d.bin").write_text("skip")
-    found = read_documents(spark, str(tmp_path)).collect()
-    rows = {r["doc_id"]: (r["title"], r["text"]) for r in found}
+    (tmp_path / "発注 1.txt").write_text("発注")
+    (tmp_path / "e.txt").write_text("")
+    found = read_documents(spark, where).collect()
+    rows = {r["doc_id"]: (r["title"], r["text"], r["format"]) for r in found}
     assert rows == {
-        "rules/a.txt": ("Returns", "Returns\nWithin 30 days."),
-        "b.md": ("# Terms", "# Terms"),
-        "c.HTML": ("T", "T Body"),
+        "rules/a.txt": ("Returns", "Returns\nWithin 30 days.", "plain"),
+        "b.md": ("# Terms", "# Terms", "plain"),
+        "c.HTML": ("T", "T Body", "html"),
+        "d.bin": (None, None, "unknown"),
+        "発注 1.txt": ("発注", "発注", "plain"),
+        "e.txt": ("", "", "plain"),
     }
 
 

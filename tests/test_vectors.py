@@ -10,12 +10,12 @@ SCHEMA = "vec_id bigint, label int, embedding array<float>"
 
 @pytest.fixture(scope="module")
 def rows():
-    """Vectors of which a third are copies of one, plus a zero and a short one."""
+    """Vectors of which a third are copies of one, plus a zero, an empty and a null one."""
     rng = np.random.default_rng(3)
     made = rng.normal(size=(120, 8)).astype("float32")
     made = np.concatenate([made, np.repeat(made[:1], 60, axis=0)])
     full = [(i, i % 4, [float(x) for x in v]) for i, v in enumerate(made)]
-    return [*full, (900, 0, [0.0] * 8), (901, 0, [1.0, 2.0])]
+    return [*full, (900, 0, [0.0] * 8), (901, 0, []), (902, 0, None)]
 
 
 @pytest.fixture(scope="module")
@@ -29,10 +29,11 @@ def brute_force(queries, rows, k):
         v = np.asarray(v, dtype="float64")
         scores = []
         for i, _, w in rows:
+            w = np.zeros(0) if w is None else w
             w = np.asarray(w, dtype="float64")
             if len(w) == len(v) and np.linalg.norm(w) and np.linalg.norm(v):
                 cos = float(v @ w / np.linalg.norm(v) / np.linalg.norm(w))
-                scores.append((-round(cos, 6), i))
+                scores.append((-np.floor((np.floor(cos * 1e12 + 0.5) + 500_000) / 1e6) / 1e6, i))
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])]
     return sorted(out)
 
@@ -59,6 +60,19 @@ def test_queries_of_different_lengths(spark, vectors):
     )
     with pytest.raises(ValueError):
         search_vectors(mixed, vectors)
+    short = spark.createDataFrame([(1, [1.0])], "query_id bigint, embedding array<float>")
+    with pytest.raises(ValueError):
+        search_vectors(short, vectors)
+
+
+@pytest.mark.parametrize("tasks", [1, 2])
+def test_the_layout_of_tasks_changes_nothing(spark, tasks):
+    """Two scores that are equal at six places, whether or not they meet in one task."""
+    rows = [(1, [0.1250005, (1 - 0.1250005**2) ** 0.5]), (2, [0.125001, (1 - 0.125001**2) ** 0.5])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(7, [1.0, 0.0])], "query_id bigint, embedding array<double>")
+    hit = search_vectors(asked, vectors.repartition(tasks, "vec_id"), 1).first()
+    assert hit["vec_id"] == 1 and hit["score"] == 0.125001
 
 
 def test_centroids(spark):
