@@ -1,0 +1,36 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from cases import passages, table  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def rows():
+    """With a repeated id, an id's repeated row, and null ids."""
+    made = passages()
+    return [*made, made[5], (made[6][0], made[7][1] + " tail"), (None, made[4][1]), (None, "a " * 50)]
+
+
+@pytest.fixture(scope="session")
+def docs(spark, rows):
+    return table(spark, rows)
+
+
+@pytest.fixture(scope="session")
+def clashing(docs):
+    """The same documents with columns that operators use inside."""
+    from pyspark.sql import functions as F
+
+    names = ["g", "kind", "text_key", "others", "size", "shard", "rank", "group", "a", "b", "label", "bucket"]
+    return docs.withColumns({n: F.lit("clash") for n in names})
+
+
+@pytest.fixture(scope="session")
+def nothing(docs):
+    return docs.limit(0)
