@@ -144,6 +144,10 @@ ORACLE: dict[str, str] = {
       SELECT o_orderstatus, count(*) AS n_orders, true AS user_known,
              true AS user_is_session_user, true AS catalog_is_current
       FROM orders GROUP BY 1""",
+    "landing_files": "SELECT item_id, cast(strlen(text) + 1 AS BIGINT) AS n_bytes FROM benchmark",
+    "documents_from_files": f"""
+      SELECT item_id, {squeezed("split_part(text, chr(10), 1)")} AS title, text,
+             'plain' AS format FROM benchmark""",
     "rules_documents": DOCUMENTS,
     "user_slug": """
       SELECT c_custkey,

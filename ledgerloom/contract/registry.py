@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.contract.tables import (
@@ -40,7 +40,7 @@ from ledgerloom.plans import reports
 from ledgerloom.plans.medallion import set_up, to_gold
 from ledgerloom.session import open_namespace, session_facts
 from ledgerloom.sinks import create_once, replace_table
-from ledgerloom.sources import read_bronze
+from ledgerloom.sources import landing_files, read_bronze, read_documents
 from ledgerloom.sources.documents import first_line
 from ledgerloom.staging import fresh_path, stage
 from ledgerloom.streaming import ingest_files
@@ -97,6 +97,32 @@ def bronze_stream_events(spark, sf_dir):
     )
 
 
+def land_items(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one text file per benchmark item, its number in the path. The writer
+    ends each file with a line end."""
+    folder = fresh_path(spark, "items")
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.coalesce("text", F.lit("")))
+    items.repartition("item_id").write.partitionBy("item_id").text(folder)
+    return folder
+
+
+def item_number(path: str) -> Column:
+    return F.regexp_extract(path, r"item_id=(\d+)/", 1).cast("bigint").alias("item_id")
+
+
+@query("landing_files")
+def landing_files_list(spark, sf_dir):
+    found = landing_files(spark, land_items(spark, sf_dir), "*.txt")
+    return found.select(item_number("path"), "n_bytes")
+
+
+@query("documents_from_files")
+def documents_from_files(spark, sf_dir):
+    found = read_documents(spark, land_items(spark, sf_dir))
+    text = F.substring("text", F.lit(1), F.length("text") - 1)
+    return found.select(item_number("doc_id"), "title", text.alias("text"), "format")
+
+
 @query("rules_documents")
 def rules_documents(spark, sf_dir):
     return documents(spark, sf_dir)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -116,3 +118,39 @@ def test_cluster_without_checkpoint_folder_is_an_error():
         staging.checkpoint_folder(Session(**{"spark.master": "yarn"}))
     local = Session(**{"spark.master": "local[2]", "spark.app.id": "x"})
     assert staging.checkpoint_folder(local) == staging.checkpoint_folder(local)
+
+
+class Settings(dict):
+    @property
+    def conf(self):
+        return self
+
+
+@pytest.mark.parametrize("master", ["", "yarn", "local-cluster[2,1,1024]", "spark://host:7077"])
+def test_a_session_not_known_to_be_local_needs_a_shared_folder(master):
+    with pytest.raises(RuntimeError):
+        staging.checkpoint_folder(Settings({"spark.master": master}))
+    given = Settings({"spark.master": master, "spark.checkpoint.dir": "file:///shared/"})
+    assert staging.checkpoint_folder(given) == "file:///shared"
+
+
+def test_staged_tables_are_dropped(spark, monkeypatch):
+    monkeypatch.setattr(staging, "_made", [])
+    kept = staging.stage(spark.range(3).withColumn("part", F.col("id") % 2), "gone", "part")
+    assert sorted(r["id"] for r in kept.where("part = 0").collect()) == [0, 2]
+    folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://")).rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    staging.drop_staged()
+    assert not os.path.exists(folder)
+
+
+def test_private_schemas_are_dropped(spark, monkeypatch):
+    from ledgerloom.contract import tables
+
+    monkeypatch.setattr(tables, "_private", [])
+    before = {r[0] for r in spark.sql("SHOW SCHEMAS").collect()}
+    with tables.private_namespace(spark) as private:
+        open_namespace(spark, **private)
+    assert {r[0] for r in spark.sql("SHOW SCHEMAS").collect()} - before
+    tables.drop_private()
+    assert {r[0] for r in spark.sql("SHOW SCHEMAS").collect()} == before
