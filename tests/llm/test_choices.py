@@ -195,7 +195,8 @@ def test_labels_are_learned_and_held_out_ones_told(spark, monkeypatch):
     held = [(r["predicted"], known[r["doc_id"]]) for r in found if r["held_out"] and r["doc_id"] in known and r["doc_id"] not in (5, 6)]
     assert len(held) > 50 and np.mean([p == q for p, q in held]) > 0.95
     again = quality.judge(docs.repartition(5), labels.repartition(3))
-    assert plain(again) == pytest.approx(plain(quality.judge(docs, labels)))
+    for a, b in zip(plain(again), plain(quality.judge(docs, labels)), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=1e-9)
 
 
 def test_held_out_labels_are_not_used(spark, monkeypatch):
