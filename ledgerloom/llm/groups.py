@@ -11,7 +11,6 @@ before are no longer needed then.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -19,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.texts import give_back
 from ledgerloom.staging import stage
 
-GROUP_BYTES = 8 << 20
-GROUPS_A_BUCKET = 4
+GROUP_BYTES = 2 << 20
+GROUPS_A_BUCKET = 16
 # A null id comes after all others.
 LAST_ID = np.iinfo(np.int64).max
 U64 = np.uint64
@@ -66,6 +66,7 @@ def meet(dealt: DataFrame, answers: DataFrame | None, run: Callable, schema: str
             said = {c: [x for x in rows[c][:cut].to_pylist()] for c in names}
             if cut < len(kind):
                 yield from run(g, said, rows.slice(cut))
+                give_back()
 
     return together.mapInArrow(rounds, schema)
 
@@ -154,10 +155,16 @@ def shared_keys(sent: DataFrame) -> DataFrame:
     return dealt.mapInArrow(answer, "g int, shared binary")
 
 
+# Spark's setting to remove the shuffle files of a query when the query ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Stage a round's result and let Spark drop the shuffle files behind it."""
-    kept = stage(df, name)
-    del df
-    gc.collect()
-    kept.sparkSession.sparkContext._jvm.System.gc()
-    return kept
+    """Stage a round's result; Spark removes the shuffle files behind it."""
+    settings = df.sparkSession.conf
+    before = settings.get(CLEAN_UP, "false")
+    settings.set(CLEAN_UP, "true")
+    try:
+        return stage(df, name)
+    finally:
+        settings.set(CLEAN_UP, before)

@@ -29,20 +29,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.groups import (
     KEYS, U64, deal, ids_of, in_sorted, joined, key_rows, meet, runs_of, settle, shared_keys, text_array,
 )
-from ledgerloom.llm.texts import mix, ranges_within, utf8
+from ledgerloom.llm.texts import give_back, mix, ranges_within, utf8
 
 LENGTH = 100
 GRAM = 32
 PLACES = LENGTH - GRAM + 1  # where an anchor may stand in a string
 BASE, INVERSE = U64(0x9E3779B97F4A7C15), U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-BLOCK = 1 << 20  # bytes hashed at once
+BLOCK = 1 << 19  # bytes hashed at once
 INDEX_BITS = 24
 # Pieces that run through the rounds together, and the least a batch of them waits for.
 PIECES = 60_000
@@ -108,14 +107,16 @@ def send_keys(buckets: int):
     return run
 
 
+# In place of the bytes before the anchor: the row holds spans, not a piece.
+PACKED = -1
 PIECE = "key long, g int, doc_id long, text_key long, start long, before int, strings int, piece binary"
 
 
 def send_pieces(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
     """The pieces whose anchor is met elsewhere too.
 
-    Of equal pieces in a group only those that no other precedes are sent with their
-    text; the others are sent without it, as all their strings are known to go.
+    Of equal pieces in a group only those that no other precedes are sent; all strings
+    of the others are known to go and travel packed, one row for the group.
     """
     data, offsets = utf8(text_array(documents))
     key, anchor, first, last, text = pieces_of(data, offsets)
@@ -130,15 +131,32 @@ def send_pieces(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
     )
     codes = cut.dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(first) else first
     gone = preceded(codes, ids[text], text_keys[text], first)
-    kept = pc.if_else(pa.array(gone), pa.scalar(None, pa.binary()), cut)
-    yield pa.record_batch(
-        [
-            pa.array(key.view(np.int64)), pa.array(np.full(len(key), g, np.int32)),
-            pa.array(ids[text]), pa.array(text_keys[text]), pa.array(first - offsets[text]),
-            pa.array((anchor - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), kept,
-        ],
-        names=[c.split()[0] for c in PIECE.split(", ")],
-    )
+    local = packed_runs(ids[text[gone]], text_keys[text[gone]], (first - offsets[text])[gone], (last - first + 1)[gone])
+    on = np.flatnonzero(~gone)
+    key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
+    columns = [
+        pa.array(key.view(np.int64)), pa.array(np.full(len(key), g, np.int32)),
+        pa.array(ids[text]), pa.array(text_keys[text]), pa.array(first - offsets[text]),
+        pa.array((anchor - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)),
+        cut.take(pa.array(on)),
+    ]
+    names = [c.split()[0] for c in PIECE.split(", ")]
+    yield pa.record_batch(columns, names=names)
+    if len(local):
+        spread = int(mix(np.array([g + 1], U64)).view(np.int64)[0])
+        row = [spread, g, 0, 0, 0, PACKED, 0, local]
+        yield pa.record_batch([pa.array([v], c.type) for v, c in zip(row, columns, strict=True)], names=names)
+
+
+def packed_runs(ids, text_keys, starts, strings) -> bytes:
+    """(doc_id, text_key, first, end) of runs of strings, neighbouring runs made one."""
+    order = np.lexsort((starts, text_keys, ids))
+    ids, text_keys, starts, ends = ids[order], text_keys[order], starts[order], (starts + strings)[order]
+    opens = np.ones(len(ids), bool)
+    opens[1:] = (ids[1:] != ids[:-1]) | (text_keys[1:] != text_keys[:-1]) | (starts[1:] > ends[:-1])
+    closes = np.append(opens[1:], True) if len(ids) else opens
+    rows = np.stack([ids[opens], text_keys[opens], starts[opens], ends[closes]], axis=1)
+    return rows.astype("<i8").tobytes()
 
 
 def preceded(same: np.ndarray, ids: np.ndarray, text_keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -208,10 +226,10 @@ def settle_pieces(rows: pa.Table) -> pa.RecordBatch:
     )
     cut = rows["piece"].combine_chunks()
     cut = cut.combine_chunks() if isinstance(cut, pa.ChunkedArray) else cut
-    texts = cut.is_valid().to_numpy(zero_copy_only=False)
-    all_gone = ~texts
+    packed = np.flatnonzero(before == PACKED)
+    all_gone = before == PACKED
     # Equal pieces of different groups: only those that no other precedes go on.
-    have = np.flatnonzero(texts)
+    have = np.flatnonzero(before != PACKED)
     if len(have):
         codes = cut.take(pa.array(have)).dictionary_encode().indices.to_numpy(zero_copy_only=False)
         all_gone[have] = preceded(codes, ids[have], text_keys[have], starts[have])
@@ -221,7 +239,8 @@ def settle_pieces(rows: pa.Table) -> pa.RecordBatch:
         _, code, n = np.unique(key[left], return_inverse=True, return_counts=True)
         several = n[code] > 1
     left = left[several]
-    firsts, ends, owners = [starts[all_gone]], [(starts + strings)[all_gone]], [np.flatnonzero(all_gone)]
+    whole = np.flatnonzero(all_gone & (before != PACKED))
+    firsts, ends, owners = [starts[whole]], [(starts + strings)[whole]], [whole]
     if len(left):
         gone = column_rounds(
             key[left], before[left], strings[left], ids[left], text_keys[left], starts[left], cut.take(pa.array(left))
@@ -233,13 +252,14 @@ def settle_pieces(rows: pa.Table) -> pa.RecordBatch:
         ends.append(starts[left[who]] + b)
         owners.append(left[who])
     owner = np.concatenate(owners)
-    return pa.record_batch(
-        [
-            pa.array(g[owner]), pa.array(ids[owner]), pa.array(text_keys[owner]),
-            pa.array(np.concatenate(firsts)), pa.array(np.concatenate(ends)),
-        ],
-        names=["g", "doc_id", "text_key", "first", "end"],
-    )
+    told = [np.frombuffer(cut[int(i)].as_py(), "<i8").reshape(-1, 4) for i in packed]
+    local = np.concatenate(told) if told else np.zeros((0, 4), np.int64)
+    of = np.repeat(g[packed], [len(x) for x in told]).astype(np.int32)
+    columns = [
+        np.append(g[owner], of), np.append(ids[owner], local[:, 0]), np.append(text_keys[owner], local[:, 1]),
+        np.append(np.concatenate(firsts), local[:, 2]), np.append(np.concatenate(ends), local[:, 3]),
+    ]
+    return pa.record_batch([pa.array(c) for c in columns], names=["g", "doc_id", "text_key", "first", "end"])
 
 
 def settle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,29 +270,28 @@ def settle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if n >= PIECES:
             yield settle_pieces(pa.concat_tables(held))
             held, n = [], 0
+            give_back()
     if held:
         yield settle_pieces(pa.concat_tables(held))
 
 
-def spans_of_groups(found: DataFrame) -> DataFrame:
-    """(g, owners, spans): packed for the groups that wait for them."""
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            g = batch.column(0).to_numpy(zero_copy_only=False)
-            values = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4)]
-            order = np.argsort(g, kind="stable")
-            heads = np.flatnonzero(np.diff(g[order], prepend=-1)) if len(g) else []
-            rows = [
-                np.stack([v[order[a:b]] for v in values], axis=1).astype("<i8").tobytes()
-                for a, b in zip(heads, np.append(heads, len(g))[1:].astype(int), strict=True)
-            ]
-            yield pa.record_batch(
-                [pa.array(g[order][heads] if len(g) else [], pa.int32()), pa.array(rows, pa.binary())],
-                names=["g", "spans"],
-            )
-
-    return found.mapInArrow(packed, "g int, spans binary")
+def settle_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(g, spans): the same, packed for the groups that wait for them."""
+    for batch in settle_batches(batches):
+        if batch.num_rows == 0:
+            continue
+        g = batch.column(0).to_numpy(zero_copy_only=False)
+        values = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3, 4)]
+        order = np.argsort(g, kind="stable")
+        heads = np.flatnonzero(np.diff(g[order], prepend=-1))
+        rows = [
+            np.stack([v[order[a:b]] for v in values], axis=1).astype("<i8").tobytes()
+            for a, b in zip(heads, np.append(heads[1:], len(g)).astype(int), strict=True)
+        ]
+        yield pa.record_batch(
+            [pa.array(g[order][heads].astype(np.int32)), pa.array(rows, pa.binary())],
+            names=["g", "spans"],
+        )
 
 
 def removals(docs: DataFrame, run, schema: str, others: Sequence[str] = ()) -> DataFrame:
@@ -281,8 +300,7 @@ def removals(docs: DataFrame, run, schema: str, others: Sequence[str] = ()) -> D
     keys = settle(shared_keys(meet(dealt, None, send_keys(buckets), KEYS)), "keys")
     pieces = meet(dealt, keys, send_pieces, PIECE)
     sorted_ = pieces.repartition("key").sortWithinPartitions("key")
-    spans = "g int, doc_id long, text_key long, first long, end long"
-    found = settle(spans_of_groups(sorted_.mapInArrow(settle_batches, spans)), "spans")
+    found = settle(sorted_.mapInArrow(settle_packed, "g int, spans binary"), "spans")
 
     def finish(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(text_array(documents))

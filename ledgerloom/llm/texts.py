@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # ASCII white space that separates words: space and the controls 9 to 13.
 IS_SPACE = np.zeros(256, bool)
@@ -14,6 +16,23 @@ IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 U64 = np.uint64
 
+# Rows that Spark gives a task's Python at once; texts may be long.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Make Spark hand texts to Python in batches of few rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Python workers outlive their task, and several
+    share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in one array, and where each text begins and ends in it.
