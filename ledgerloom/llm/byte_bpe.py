@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.pretokens import split
-from ledgerloom.llm.texts import ranges_within, slices
+from ledgerloom.llm.texts import give_back, ranges_within, slices
 
 # Bytes become the characters from here on, none of which is white space or combines.
 FIRST_CHARACTER = 0x100
@@ -39,9 +39,9 @@ TO_CHARACTERS = {b: chr(FIRST_CHARACTER + b) for b in range(256)}
 PARTS = "\x01"
 
 # Bytes of text, or of ids, that are worked on at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 # Encoded pre-tokens a worker remembers; a full memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 # Bytes of pre-tokens that the model gets together.
 TOGETHER = 1 << 16
 # Only shorter pre-tokens are remembered.
@@ -111,22 +111,26 @@ class Codec:
         self.data = np.frombuffer(b"".join(strings), np.uint8)
         self.lengths = np.array([len(s) for s in strings])
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}  # ids as little-endian bytes
 
-    def merged(self, strings: list[bytes]) -> list[np.ndarray]:
+    def merged(self, strings: list[bytes]) -> list[bytes]:
         """Ids of pre-tokens that the vocabulary doesn't hold whole.
 
         Many are given to the model at once, parted by a character that is no piece, so
         that nothing merges across it and its unknown id parts the ids again.
         """
-        ids = np.array(self.model.encode(PARTS.join(map(characters, strings))), np.uint32)
-        return np.split(ids[ids != self.unknown], parted(ids == self.unknown))
+        ids = np.array(self.model.encode(PARTS.join(map(characters, strings))), "<u4")
+        signs = np.flatnonzero(ids == self.unknown)
+        line = ids.tobytes()
+        begins = [0, *((signs + 1) * 4).tolist()]
+        ends = [*(signs * 4).tolist(), len(line)]
+        return [line[a:b] for a, b in zip(begins, ends, strict=True)]
 
     def learn(self, new: list[bytes]) -> None:
         rest = []
         for s in new:
             if s in self.whole:
-                self.known[s] = np.array([self.whole[s]], np.uint32)
+                self.known[s] = struct.pack("<I", self.whole[s])
             else:
                 rest.append(s)
         at = 0
@@ -148,12 +152,12 @@ class Codec:
         for s in found.strings:
             if len(s) > LONGEST_REMEMBERED:
                 del self.known[s]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         taken = lengths[found.codes]
         taken[found.ends] = 0
         where, _ = ranges_within((np.cumsum(lengths) - lengths)[found.codes], taken)
-        return binaries(flat[where].astype("<u4"), np.cumsum(taken)[found.ends] * 4)
+        return binaries(flat[where], np.cumsum(taken)[found.ends] * 4)
 
     def decode(self, ids: pa.Array) -> pa.Array:
         """The bytes of the ids of every text."""
@@ -165,12 +169,6 @@ class Codec:
         return binaries(self.data[where], ends)
 
 
-def parted(signs: np.ndarray) -> np.ndarray:
-    """Where to split once the signs are taken out."""
-    at = np.flatnonzero(signs)
-    return at - np.arange(len(at))
-
-
 def raw(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and bounds of a binary column; null is empty."""
     whole = pc.fill_null(values.cast(pa.large_binary()), b"")
@@ -189,6 +187,7 @@ def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 def in_slices(values: pa.Array, most_bytes: int, work: Callable[[pa.Array], pa.Array]) -> pa.Array:
     parts = [work(values.slice(a, b - a)) for a, b in slices(values, most_bytes)]
+    give_back()
     return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
 

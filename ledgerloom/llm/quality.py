@@ -28,13 +28,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.texts import keys, mix, ranges_within, slices, utf8, word_bounds
+from ledgerloom.llm.texts import give_back, keys, mix, ranges_within, slices, utf8, word_bounds
 
-SAMPLE, SAMPLE_BYTES = 6000, 1 << 15
+SAMPLE, SAMPLE_BYTES = 3000, 1 << 14
 BUCKETS = 1 << 18
-DIM, EPOCHS, RATE, SEED = 16, 8, 0.5, 11
+# Examples that training looks at, some of them often.
+STEPS = 24_000
+DIM, RATE, SEED = 16, 0.5, 11
 N_GRAMS = (3, 4, 5)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+# Distinct words that are scored at once.
+WORDS = 20_000
 # Buckets of the fixed features, and the first one for hashes.
 END, SAME, PAIR, FIRST = 0, 1, 2, 3
 LEFT, RIGHT = 60, 62  # code points of < and >
@@ -103,10 +107,11 @@ def read_words(texts: pa.Array) -> Words:
     before = np.roll(codes, 1)
     same = inner & (codes == before)
     coded = mix((text * len(pieces.dictionary) + before).astype(U64)) + codes.astype(U64)
-    order = np.argsort(coded, kind="stable")
+    real = np.flatnonzero(inner)
+    order = real[np.argsort(coded[real], kind="stable")]
     pair = np.zeros(len(codes), bool)
     pair[order[1:]] = coded[order[1:]] == coded[order[:-1]]
-    return Words(pieces.dictionary.to_pylist(), codes, text, same, pair & inner, n)
+    return Words(pieces.dictionary.to_pylist(), codes, text, same, pair, n)
 
 
 def counted(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -135,15 +140,17 @@ class Model:
 
 
 def train(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
-    """Stochastic gradient descent over the examples in seeded order."""
+    """Stochastic gradient descent over the examples in seeded order, in doubles: single
+    precision would let the last bits of a sum, which depend on where an array lies, grow."""
     rng = np.random.default_rng(SEED)
-    vectors = ((rng.random((BUCKETS, DIM)) - 0.5) / DIM).astype(np.float32)
-    layer = np.zeros((2, DIM), np.float32)
-    steps, done = EPOCHS * len(examples), 0
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(examples)):
+    vectors = (rng.random((BUCKETS, DIM)) - 0.5) / DIM
+    layer = np.zeros((2, DIM))
+    done = 0
+    while done < STEPS:
+        for i in rng.permutation(len(examples))[: STEPS - done]:
             ids, parts, label = examples[i]
-            rate = np.float32(RATE * (1 - done / steps))
+            parts = parts.astype(float)
+            rate = RATE * (1 - done / STEPS)
             done += 1
             mean = parts @ vectors[ids]
             raw = layer @ mean
@@ -161,13 +168,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def example_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.list_(pa.int32()), pa.list_(pa.float32()), pa.int32()]
+    kinds = [pa.list_(pa.int32()), pa.list_(pa.float32()), pa.int32(), pa.int64()]
     for batch in batches:
         for a, b in slices(batch.column(0), SLICE_BYTES):
             made = counted(batch.column(0).slice(a, b - a))
-            values = [[m[0] for m in made], [m[1] for m in made], batch.column(1).slice(a, b - a)]
+            given = [batch.column(i).slice(a, b - a) for i in (1, 2)]
+            values = [[m[0] for m in made], [m[1] for m in made], *given]
             yield pa.record_batch(
-                [pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=["ids", "parts", "label"]
+                [pa.array(v, k) for v, k in zip(values, kinds, strict=True)],
+                names=["ids", "parts", "label", "doc_id"],
             )
 
 
@@ -181,22 +190,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     # The sample has at most SAMPLE rows, so it is sent to the documents.
     texts = small.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("label").alias("label"))
-    found = rows.select("text", "label").mapInArrow(
-        example_batches, "ids array<int>, parts array<float>, label int"
+    found = rows.select("text", "label", "doc_id").mapInArrow(
+        example_batches, "ids array<int>, parts array<float>, label int, doc_id long"
     ).toArrow()
     if found.num_rows == 0:
         return None
     examples = []
     for batch in found.to_batches():
         ids, parts = batch.column(0), batch.column(1)
-        flat_ids = ids.values.to_numpy(zero_copy_only=False)
-        flat_parts = parts.values.to_numpy(zero_copy_only=False)
+        flat_ids = ids.flatten().to_numpy(zero_copy_only=False)
+        flat_parts = parts.flatten().to_numpy(zero_copy_only=False)
         cuts = ids.offsets.to_numpy()
-        for i, label in enumerate(batch.column(2).to_pylist()):
-            examples.append((flat_ids[cuts[i] : cuts[i + 1]], flat_parts[cuts[i] : cuts[i + 1]], label))
-    # Rows come in no fixed order; the features tell them apart.
-    examples.sort(key=lambda e: (e[2], len(e[0]), e[0].tobytes(), e[1].tobytes()))
-    return train(examples)
+        cuts = cuts - cuts[0]
+        labels_and_ids = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        for i, (label, doc_id) in enumerate(labels_and_ids):
+            part = slice(cuts[i], cuts[i + 1])
+            examples.append((doc_id, flat_ids[part], flat_parts[part], label))
+    # Rows come in no fixed order.
+    examples.sort(key=lambda e: e[0])
+    return train([e[1:] for e in examples])
 
 
 def score(text: Column, model: Model | None) -> Column:
@@ -208,9 +220,12 @@ def score(text: Column, model: Model | None) -> Column:
         total = np.full(w.n_texts, float(table[END]))
         n = np.ones(w.n_texts)
         if w.strings:
-            features, begins = word_features(w.strings)
-            sums = np.add.reduceat(table[features].astype(float), begins[:-1])
-            sizes = np.diff(begins)
+            sums, sizes = np.zeros(len(w.strings)), np.zeros(len(w.strings), np.int64)
+            for a in range(0, len(w.strings), WORDS):
+                some = slice(a, a + WORDS)
+                features, begins = word_features(w.strings[some])
+                sums[some] = np.add.reduceat(table[features].astype(float), begins[:-1])
+                sizes[some] = np.diff(begins)
             extra = w.same * float(table[SAME]) + w.pair * float(table[PAIR])
             total += np.bincount(w.text, sums[w.codes] + extra, w.n_texts)
             n += np.bincount(w.text, sizes[w.codes] + w.same.astype(int) + w.pair, w.n_texts)
@@ -219,6 +234,7 @@ def score(text: Column, model: Model | None) -> Column:
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         parts = [of(texts.slice(a, b - a)) for a, b in slices(texts, SLICE_BYTES)]
+        give_back()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return scored(text)

@@ -20,6 +20,7 @@ from ledgerloom.llm import (
     url_rules,
     voronoi,
 )
+from ledgerloom.llm.texts import small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,6 +31,7 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -35,11 +35,11 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ledgerloom.llm.groups import text_key
-from ledgerloom.llm.texts import ranges_within, slices, utf8, word_bounds
+from ledgerloom.llm.texts import give_back, ranges_within, slices, utf8, word_bounds
 from ledgerloom.staging import stage
 
 SHINGLE, SEED, FURTHEST = 3, 42, 3
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 FRONT = 28  # bits of the two blocks in front
 NODE = 16  # members of a node
 PAIRS = 1 << 20  # pairs compared at once
@@ -100,6 +100,7 @@ def fingerprint(text: Column) -> Column:
             majority(*shingle_hashes(texts.slice(a, b - a), SHINGLE, SEED))
             for a, b in slices(texts, SLICE_BYTES)
         ]
+        give_back()
         return pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64))
 
     return made(text)

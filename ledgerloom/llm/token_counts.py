@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.pretokens import split
-from ledgerloom.llm.texts import mix, ranges_within, slices
+from ledgerloom.llm.texts import give_back, ranges_within, slices
 
 # Bytes of text that are worked on at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Counts a worker remembers, and the longest pre-token it does it for.
 REMEMBERED, LONGEST_REMEMBERED = 400_000, 64
 NEVER = np.int64(1) << 40
@@ -222,6 +222,7 @@ def token_count(text: Column, path: str) -> Column:
     @F.arrow_udf("long")
     def count(texts: pa.Array) -> pa.Array:
         parts = [counter(path).text_counts(texts.slice(a, b - a)) for a, b in slices(texts, SLICE_BYTES)]
+        give_back()
         return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
 
     return count(text)
