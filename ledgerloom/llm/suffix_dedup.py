@@ -99,9 +99,18 @@ def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return key, anchor, first, last, np.searchsorted(offsets, first, "right") - 1
 
 
+def each_once(documents: pa.Table) -> pa.Table:
+    """One of the rows with equal id and text: what goes from one goes from all of them."""
+    ids, text_keys = ids_of(documents), documents["text_key"].to_numpy()
+    order = np.lexsort((text_keys, ids))
+    first = np.ones(len(order), bool)
+    first[1:] = (np.diff(ids[order]) != 0) | (np.diff(text_keys[order]) != 0)
+    return documents if first.all() else documents.take(pa.array(np.sort(order[first])))
+
+
 def send_keys(buckets: int):
     def run(g, _, documents: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = pieces_of(*utf8(text_array(documents)))[0]
+        key = pieces_of(*utf8(text_array(each_once(documents))))[0]
         yield key_rows(g, key, buckets)
 
     return run
@@ -118,6 +127,7 @@ def send_pieces(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
     Of equal pieces in a group only those that no other precedes are sent; all strings
     of the others are known to go and travel packed, one row for the group.
     """
+    documents = each_once(documents)
     data, offsets = utf8(text_array(documents))
     key, anchor, first, last, text = pieces_of(data, offsets)
     on = in_sorted(key, np.sort(joined(told["shared"], U64)))

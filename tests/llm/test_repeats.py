@@ -51,6 +51,17 @@ def test_one_very_long_text(spark):
     assert plain(suffix_dedup.digests(table(spark, rows))) == brute.suffix_dedup(rows)
 
 
+def test_repeated_rows_keep_their_text(spark):
+    alone = {d: " ".join(f"{d}-{i}" for i in range(90)) for d in (5, None)}
+    twice = alone[5] + " again " + alone[5]
+    rows = [(5, alone[5]), (5, alone[5]), (None, alone[None]), (None, alone[None]), (2, "short"), (None, "other")]
+    assert plain(suffix_dedup.digests(table(spark, rows))) == ordered(brute.suffix_dedup(rows))
+    left = suffix_dedup.remaining_texts(table(spark, rows)).collect()
+    assert ordered((r["doc_id"], r["text"]) for r in left) == ordered(rows)
+    rows = [(7, twice), (7, twice), (9, alone[5])]
+    assert plain(suffix_dedup.digests(table(spark, rows))) == ordered(brute.suffix_dedup(rows))
+
+
 def test_recompression_names_equal_windows_alike(rows):
     import pyarrow as pa
 
