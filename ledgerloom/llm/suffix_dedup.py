@@ -18,6 +18,11 @@ transform, order and prefixes are arrays that are read and written in sequence.
 string starts, neighbours with a common prefix of ``LENGTH`` or more are equal strings.
 Collections share nothing, so all that a task has run through the rounds side by side.
 
+Pieces at the edges of a passage hold bytes of their own document, so an anchor that a
+share of all documents has would gather as many pieces. Where an anchor has more than
+``HOT``, its strings are dealt one by one instead, by 128 bits of hash: of each group those
+with the smallest id, so a string arrives about once a group.
+
 Null and empty texts, and texts shorter than ``LENGTH``, lose nothing. Rows with equal
 ids are documents of their own and not earlier than each other; a null id comes last.
 """
@@ -29,11 +34,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.groups import (
-    KEYS, U64, deal, ids_of, in_sorted, joined, key_rows, meet, runs_of, settle, shared_keys, text_array,
+    KEYS, U64, by_bucket, deal, ids_of, in_sorted, joined, meet, runs_of, settle, text_array,
 )
 from ledgerloom.llm.texts import give_back, mix, ranges_within, utf8
 
@@ -45,6 +51,11 @@ BLOCK = 1 << 19  # bytes hashed at once
 INDEX_BITS = 24
 # Pieces that run through the rounds together, and the least a batch of them waits for.
 PIECES = 60_000
+# Pieces of one anchor, equal ones of a group counted once, beyond which its strings are
+# dealt singly, to so many buckets for each bucket of keys.
+HOT = 2_000
+STRING_BUCKETS = 8
+DIGESTS = 1 << 16  # hashes made at once
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -108,54 +119,136 @@ def each_once(documents: pa.Table) -> pa.Table:
     return documents if first.all() else documents.take(pa.array(np.sort(order[first])))
 
 
+def hashes_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """128 bits of hash of each span, as two numbers."""
+    out = np.zeros((len(starts), 2), U64)
+    view, digest = memoryview(data), xxhash.xxh3_128_digest
+    for i in range(0, len(starts), DIGESTS):
+        a = starts[i : i + DIGESTS]
+        spans = zip(a.tolist(), (a + sizes[i : i + DIGESTS]).tolist(), strict=True)
+        out[i : i + DIGESTS] = np.frombuffer(b"".join([digest(view[x:y]) for x, y in spans]), "<u8").reshape(-1, 2)
+    return out
+
+
+def numbered(hashes: np.ndarray) -> np.ndarray:
+    """A number for each hash, the same for equal ones."""
+    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    new = np.any(np.diff(hashes[order], axis=0, prepend=hashes[order[:1]]) != 0, axis=1)
+    out = np.empty(len(hashes), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+COUNTED = KEYS + ", times binary"
+
+
 def send_keys(buckets: int):
+    """Distinct keys of a group, and how many distinct pieces those have that are met often."""
+
     def run(g, _, documents: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = pieces_of(*utf8(text_array(each_once(documents))))[0]
-        yield key_rows(g, key, buckets)
+        data, offsets = utf8(text_array(each_once(documents)))
+        key, _, first, last, _ = pieces_of(data, offsets)
+        distinct, of, n = np.unique(key, return_inverse=True, return_counts=True)
+        again = np.flatnonzero(n[of] > 1)
+        codes = numbered(hashes_of(data, first[again], (last - first + LENGTH)[again]))
+        _, some = np.unique(codes, return_index=True)
+        times = np.bincount(of[again][some], minlength=len(distinct)).astype(np.int32)
+        rows = [
+            (i, g, distinct[at][n[at] == 1].tobytes(), distinct[at][n[at] > 1].tobytes(), times[at][n[at] > 1].tobytes())
+            for i, at in by_bucket(distinct, buckets)
+        ]
+        kinds = [pa.int32(), pa.int32()] + [pa.binary()] * 3
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        names = [c.split()[0] for c in COUNTED.split(", ")]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return run
 
 
-# In place of the bytes before the anchor: the row holds spans, not a piece.
-PACKED = -1
+def shared_and_hot(sent: DataFrame, most: int) -> DataFrame:
+    """(g, shared, hot): the keys of each group that are met more than once in all groups,
+    and those of them with more than ``most`` pieces."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in runs_of(batches, "bucket"):
+            kinds = {"once": U64, "often": U64, "times": np.int32}
+            once, often, times = ([np.frombuffer(x, k) for x in rows[c].to_pylist()] for c, k in kinds.items())
+            every = np.sort(np.concatenate(once + often + often))
+            shared = np.unique(every[:-1][every[1:] == every[:-1]])
+            once = [x[in_sorted(x, shared)] for x in once]
+            n = np.zeros(len(shared), np.int64)
+            for a, b, t in zip(once, often, times, strict=True):
+                n[np.searchsorted(shared, a)] += 1
+                n[np.searchsorted(shared, b)] += t
+            told, hot = [np.append(a, b) for a, b in zip(once, often, strict=True)], shared[n > most]
+            columns = [[x.tobytes() for x in told], [x[in_sorted(x, hot)].tobytes() for x in told]]
+            yield pa.record_batch(
+                [pa.array(rows["g"].to_pylist(), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
+                names=["g", "shared", "hot"],
+            )
+
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(answer, "g int, shared binary, hot binary")
+
+
+# In place of the bytes before the anchor: the row holds spans, or strings by their hash.
+PACKED, STRINGS = -1, -2
+STRING = np.dtype([("hash", "<u8", 2), ("doc_id", "<i8"), ("text_key", "<i8"), ("start", "<i8")])
 PIECE = "key long, g int, doc_id long, text_key long, start long, before int, strings int, piece binary"
+NAMES = [c.split()[0] for c in PIECE.split(", ")]
 
 
-def send_pieces(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The pieces whose anchor is met elsewhere too.
+def send_pieces(buckets: int):
+    """The pieces whose anchor is met elsewhere too, or their strings where it is hot.
 
-    Of equal pieces in a group only those that no other precedes are sent; all strings
-    of the others are known to go and travel packed, one row for the group.
+    Of equal pieces or strings in a group only those that no other precedes are sent; all
+    strings of the others are known to go and travel packed, one row for the group.
     """
-    documents = each_once(documents)
-    data, offsets = utf8(text_array(documents))
-    key, anchor, first, last, text = pieces_of(data, offsets)
-    on = in_sorted(key, np.sort(joined(told["shared"], U64)))
-    key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
-    ids, text_keys = ids_of(documents), documents["text_key"].to_numpy()
-    sizes = last - first + LENGTH
-    where, at = ranges_within(first, sizes)
-    bounds = np.append(at, len(where)).astype(np.int32)
-    cut = pa.Array.from_buffers(
-        pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(data[where])]
-    )
-    codes = cut.dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(first) else first
-    gone = preceded(codes, ids[text], text_keys[text], first)
-    local = packed_runs(ids[text[gone]], text_keys[text[gone]], (first - offsets[text])[gone], (last - first + 1)[gone])
-    on = np.flatnonzero(~gone)
-    key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
-    columns = [
-        pa.array(key.view(np.int64)), pa.array(np.full(len(key), g, np.int32)),
-        pa.array(ids[text]), pa.array(text_keys[text]), pa.array(first - offsets[text]),
-        pa.array((anchor - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)),
-        cut.take(pa.array(on)),
-    ]
-    names = [c.split()[0] for c in PIECE.split(", ")]
-    yield pa.record_batch(columns, names=names)
-    if len(local):
-        spread = int(mix(np.array([g + 1], U64)).view(np.int64)[0])
-        row = [spread, g, 0, 0, 0, PACKED, 0, local]
-        yield pa.record_batch([pa.array([v], c.type) for v, c in zip(row, columns, strict=True)], names=names)
+
+    def run(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
+        documents = each_once(documents)
+        data, offsets = utf8(text_array(documents))
+        key, anchor, first, last, text = pieces_of(data, offsets)
+        on = in_sorted(key, np.sort(joined(told["shared"], U64)))
+        key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
+        ids, text_keys = ids_of(documents), documents["text_key"].to_numpy()
+        codes = numbered(hashes_of(data, first, last - first + LENGTH))
+        gone = preceded(codes, ids[text], text_keys[text], first)
+        known = [(text[gone], first[gone], (last - first + 1)[gone])]
+        hot = ~gone & in_sorted(key, np.sort(joined(told["hot"], U64)))
+        single, n = ranges_within(first[hot], (last - first + 1)[hot])[0], (last - first + 1)[hot]
+        owner = np.repeat(text[hot], n)
+        hashes = hashes_of(data, single, np.full(len(single), LENGTH))
+        lost = preceded(numbered(hashes), ids[owner], text_keys[owner], single)
+        known.append((owner[lost], single[lost], np.ones(int(lost.sum()), np.int64)))
+        left = np.flatnonzero(~lost)
+        strings = np.zeros(len(left), STRING)
+        strings["hash"], strings["start"] = hashes[left], single[left] - offsets[owner[left]]
+        strings["doc_id"], strings["text_key"] = ids[owner[left]], text_keys[owner[left]]
+        on = np.flatnonzero(~gone & ~hot)
+        key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
+        sizes = last - first + LENGTH
+        where, at = ranges_within(first, sizes)
+        bounds = np.append(at, len(where)).astype(np.int32)
+        cut = pa.Array.from_buffers(
+            pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(data[where])]
+        )
+        columns = [
+            pa.array(key.view(np.int64)), pa.array(np.full(len(key), g, np.int32)),
+            pa.array(ids[text]), pa.array(text_keys[text]), pa.array(first - offsets[text]),
+            pa.array((anchor - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), cut,
+        ]
+        yield pa.record_batch(columns, names=NAMES)
+        text, first, n = (np.concatenate(x) for x in zip(*known, strict=True))
+        local = packed_runs(ids[text], text_keys[text], first - offsets[text], n)
+        rows = [(PACKED, g, local)] if len(local) else []
+        rows += [(STRINGS, i, strings[at].tobytes()) for i, at in by_bucket(strings["hash"][:, 0], buckets)]
+        for kind, spread, held in rows:
+            spread = int(mix(np.array([spread + 1], U64)).view(np.int64)[0])
+            row = [spread, g, 0, 0, 0, kind, 0, held]
+            yield pa.record_batch([pa.array([v], c.type) for v, c in zip(row, columns, strict=True)], names=NAMES)
+
+    return run
 
 
 def packed_runs(ids, text_keys, starts, strings) -> bytes:
@@ -230,16 +323,15 @@ def column_rounds(key, before, strings, ids, text_keys, starts, pieces: pa.Array
 
 def settle_pieces(rows: pa.Table) -> pa.RecordBatch:
     """Spans of strings that go, for whole collections."""
-    names = ["key", "g", "doc_id", "text_key", "start", "before", "strings"]
     key, g, ids, text_keys, starts, before, strings = (
-        rows[c].combine_chunks().to_numpy(zero_copy_only=False) for c in names
+        rows[c].combine_chunks().to_numpy(zero_copy_only=False) for c in NAMES[:-1]
     )
     cut = rows["piece"].combine_chunks()
     cut = cut.combine_chunks() if isinstance(cut, pa.ChunkedArray) else cut
     packed = np.flatnonzero(before == PACKED)
-    all_gone = before == PACKED
+    all_gone = before < 0
     # Equal pieces of different groups: only those that no other precedes go on.
-    have = np.flatnonzero(before != PACKED)
+    have = np.flatnonzero(before >= 0)
     if len(have):
         codes = cut.take(pa.array(have)).dictionary_encode().indices.to_numpy(zero_copy_only=False)
         all_gone[have] = preceded(codes, ids[have], text_keys[have], starts[have])
@@ -249,7 +341,7 @@ def settle_pieces(rows: pa.Table) -> pa.RecordBatch:
         _, code, n = np.unique(key[left], return_inverse=True, return_counts=True)
         several = n[code] > 1
     left = left[several]
-    whole = np.flatnonzero(all_gone & (before != PACKED))
+    whole = np.flatnonzero(all_gone & (before >= 0))
     firsts, ends, owners = [starts[whole]], [(starts + strings)[whole]], [whole]
     if len(left):
         gone = column_rounds(
@@ -265,6 +357,14 @@ def settle_pieces(rows: pa.Table) -> pa.RecordBatch:
     told = [np.frombuffer(cut[int(i)].as_py(), "<i8").reshape(-1, 4) for i in packed]
     local = np.concatenate(told) if told else np.zeros((0, 4), np.int64)
     of = np.repeat(g[packed], [len(x) for x in told]).astype(np.int32)
+    singly = np.flatnonzero(before == STRINGS)
+    if len(singly):
+        held = [np.frombuffer(cut[int(i)].as_py(), STRING) for i in singly]
+        one = np.concatenate(held)
+        lost = preceded(numbered(one["hash"]), one["doc_id"], one["text_key"], one["start"])
+        of = np.append(of, np.repeat(g[singly], [len(x) for x in held])[lost].astype(np.int32))
+        one = one[lost]
+        local = np.concatenate([local, np.stack([one["doc_id"], one["text_key"], one["start"], one["start"] + 1], axis=1)])
     columns = [
         np.append(g[owner], of), np.append(ids[owner], local[:, 0]), np.append(text_keys[owner], local[:, 1]),
         np.append(np.concatenate(firsts), local[:, 2]), np.append(np.concatenate(ends), local[:, 3]),
@@ -276,7 +376,7 @@ def settle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     held, n = [], 0
     for _, rows in runs_of(batches, "key"):
         held.append(rows)
-        n += rows.num_rows
+        n += max(rows.num_rows, rows["piece"].nbytes // (2 * LENGTH))
         if n >= PIECES:
             yield settle_pieces(pa.concat_tables(held))
             held, n = [], 0
@@ -307,8 +407,8 @@ def settle_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def removals(docs: DataFrame, run, schema: str, others: Sequence[str] = ()) -> DataFrame:
     """``run(documents, data, offsets, removed)`` for every group, ``removed`` by byte."""
     dealt, buckets = deal(docs, others)
-    keys = settle(shared_keys(meet(dealt, None, send_keys(buckets), KEYS)), "keys")
-    pieces = meet(dealt, keys, send_pieces, PIECE)
+    keys = settle(shared_and_hot(meet(dealt, None, send_keys(buckets), COUNTED), HOT), "keys")
+    pieces = meet(dealt, keys, send_pieces(buckets * STRING_BUCKETS), PIECE)
     sorted_ = pieces.repartition("key").sortWithinPartitions("key")
     found = settle(sorted_.mapInArrow(settle_packed, "g int, spans binary"), "spans")
 

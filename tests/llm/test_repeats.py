@@ -62,6 +62,27 @@ def test_repeated_rows_keep_their_text(spark):
     assert plain(suffix_dedup.digests(table(spark, rows))) == ordered(brute.suffix_dedup(rows))
 
 
+def test_hot_anchors_are_dealt_by_string(spark, docs, rows, monkeypatch):
+    passage = " ".join(f"shared {i}" for i in range(40))
+    hot = [(i, f"{'lead ' * (i % 7)}{i * 7919} {passage} {i * 104729} tail") for i in range(150)]
+    hot += [(None, f"none {passage} none"), (3, f"other {passage} other"), hot[4]]
+    most, meet = [], suffix_dedup.meet
+
+    def met(dealt, answers, run, schema):
+        out = meet(dealt, answers, run, schema)
+        if schema == suffix_dedup.PIECE:
+            most.append(out.groupBy("key").count().agg({"count": "max"}).first()[0])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "meet", met)
+    monkeypatch.setattr(groups.deal, "__defaults__", ((), 4000))
+    monkeypatch.setattr(suffix_dedup, "HOT", 20, raising=False)
+    assert plain(suffix_dedup.digests(table(spark, hot))) == ordered(brute.suffix_dedup(hot))
+    assert most[0] <= 40
+    monkeypatch.setattr(suffix_dedup, "HOT", 0, raising=False)
+    assert plain(suffix_dedup.digests(docs)) == ordered(brute.suffix_dedup(rows))
+
+
 def test_recompression_names_equal_windows_alike(rows):
     import pyarrow as pa
 
