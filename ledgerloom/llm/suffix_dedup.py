@@ -23,6 +23,10 @@ share of all documents has would gather as many pieces. Where an anchor has more
 ``HOT``, its strings are dealt one by one instead, by 128 bits of hash: of each group those
 with the smallest id, so a string arrives about once a group.
 
+In a run of one character or of a short period the anchor moves with every period. Strings
+of such a run that equal the one a period before them are known to go; only those of the
+first period are made pieces.
+
 Null and empty texts, and texts shorter than ``LENGTH``, lose nothing. Rows with equal
 ids are documents of their own and not earlier than each other; a null id comes last.
 """
@@ -56,6 +60,7 @@ PIECES = 60_000
 HOT = 2_000
 STRING_BUCKETS = 8
 DIGESTS = 1 << 16  # hashes made at once
+SENT = 1 << 14  # pieces cut at once
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -83,31 +88,71 @@ def least_of_each(values: np.ndarray) -> np.ndarray:
     return np.minimum(behind[: n - PLACES + 1], ahead[PLACES - 1 : n])
 
 
-def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Key, anchor, first and last string of every piece, and its text's number."""
-    found = []
-    room = np.diff(offsets) - LENGTH + 1
-    allowed = np.zeros(len(data) + 1, bool)
-    where, _ = ranges_within(offsets[:-1], np.maximum(room, 0))
-    allowed[where] = True
+def bounds_of(anchor: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the neighbouring strings that are ``ok`` and have one anchor."""
+    opens, closes = ok.copy(), ok.copy()
+    opens[1:] &= (anchor[1:] != anchor[:-1]) | ~ok[:-1]
+    closes[:-1] &= opens[1:] | ~ok[1:]
+    return np.flatnonzero(opens), np.flatnonzero(closes)
+
+
+def periodic(part: np.ndarray, key: np.ndarray, anchor: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Strings of a block, by place, that equal the one a period earlier in their text.
+
+    Equal strings have equal anchors at equal places, so neighbouring pieces with one key
+    tell the period: the distance of their anchors.
+    """
+    gone = np.zeros(max(len(part) - LENGTH + 1, 0), bool)
+    if len(first) < 2:
+        return gone
+    beside = np.append(False, first[1:] == last[:-1] + 1)
+    begin = first[np.maximum.accumulate(np.where(beside, 0, np.arange(len(first))))]
+    again = np.flatnonzero(beside & np.append(False, key[1:] == key[:-1]))
+    if len(again) == 0:
+        return gone
+    period = (anchor[again] - anchor[again - 1]).astype(np.int64)
+    heads = np.ones(len(again), bool)
+    heads[1:] = (np.diff(again) != 1) | (np.diff(period) != 0)
+    a = np.flatnonzero(heads)
+    period, low, high = period[a], first[again[a]], last[again[np.append(a[1:], len(again)) - 1]]
+    low = np.maximum(low, begin[again[a]] + period)
+    some = low <= high
+    period, low, high = period[some], low[some], high[some]
+    where, at = ranges_within(low, high - low + LENGTH)
+    differ = part[where] != part[where - np.repeat(period, high - low + LENGTH)]
+    before = np.append(0, np.cumsum(differ))
+    place, _ = ranges_within(at, high - low + 1)
+    string, _ = ranges_within(low, high - low + 1)
+    gone[string] = before[place + LENGTH] == before[place]
+    return gone
+
+
+def pieces_of(data: np.ndarray, offsets: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, np.ndarray]]:
+    """Key, anchor, first and last string of every piece, and its text's number; then first
+    and last string of every run of strings that equal one a period earlier."""
+    found, runs = [], []
+    ends = offsets[1:]
     low = U64((1 << INDEX_BITS) - 1)
     for a in range(0, max(len(data) - LENGTH + 1, 0), BLOCK):
         part = data[a : a + BLOCK + LENGTH - 1]
         hashes = gram_hashes(part)
         coded = (hashes & ~low) | np.arange(len(hashes), dtype=U64)
         anchor = (least_of_each(coded) & low).astype(np.int64)
-        ok = allowed[a : a + len(anchor)]
-        opens = ok.copy()
-        opens[1:] &= (anchor[1:] != anchor[:-1]) | ~ok[:-1]
-        closes = ok.copy()
-        closes[:-1] &= opens[1:] | ~ok[1:]
-        first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+        # No string starts so near the end of its text.
+        ok = np.ones(len(anchor), bool)
+        cuts = ends[np.searchsorted(ends, a, "right") : np.searchsorted(ends, a + len(anchor) + LENGTH)] - a
+        over, _ = ranges_within(np.maximum(cuts - LENGTH + 1, 0), np.minimum(cuts, LENGTH - 1))
+        ok[over[over < len(ok)]] = False
+        first, last = bounds_of(anchor, ok)
+        gone = periodic(part, hashes[anchor[first]], anchor[first], first, last)
+        if gone.any():
+            first, last = bounds_of(anchor, ok & ~gone)
+            runs.append([x + a for x in bounds_of(np.zeros(len(gone)), gone)])
         found.append((hashes[anchor[first]], anchor[first] + a, first + a, last + a))
-    if not found:
-        none = np.zeros(0, np.int64)
-        return none.astype(U64), none, none, none, none
-    key, anchor, first, last = (np.concatenate(x) for x in zip(*found, strict=True))
-    return key, anchor, first, last, np.searchsorted(offsets, first, "right") - 1
+    none = np.zeros(0, np.int64)
+    key, anchor, first, last = (np.concatenate(x) for x in zip((none.astype(U64), none, none, none), *found, strict=True))
+    again = tuple(np.concatenate(x) for x in zip((none, none), *runs, strict=True))
+    return (key, anchor, first, last, np.searchsorted(offsets, first, "right") - 1), again
 
 
 def each_once(documents: pa.Table) -> pa.Table:
@@ -147,7 +192,7 @@ def send_keys(buckets: int):
 
     def run(g, _, documents: pa.Table) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(text_array(each_once(documents)))
-        key, _, first, last, _ = pieces_of(data, offsets)
+        key, _, first, last, _ = pieces_of(data, offsets)[0]
         distinct, of, n = np.unique(key, return_inverse=True, return_counts=True)
         again = np.flatnonzero(n[of] > 1)
         codes = numbered(hashes_of(data, first[again], (last - first + LENGTH)[again]))
@@ -208,13 +253,16 @@ def send_pieces(buckets: int):
     def run(g, told: dict, documents: pa.Table) -> Iterator[pa.RecordBatch]:
         documents = each_once(documents)
         data, offsets = utf8(text_array(documents))
-        key, anchor, first, last, text = pieces_of(data, offsets)
+        (key, anchor, first, last, text), (run_first, run_last) = pieces_of(data, offsets)
         on = in_sorted(key, np.sort(joined(told["shared"], U64)))
         key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
         ids, text_keys = ids_of(documents), documents["text_key"].to_numpy()
         codes = numbered(hashes_of(data, first, last - first + LENGTH))
         gone = preceded(codes, ids[text], text_keys[text], first)
-        known = [(text[gone], first[gone], (last - first + 1)[gone])]
+        known = [
+            (text[gone], first[gone], (last - first + 1)[gone]),
+            (np.searchsorted(offsets, run_first, "right") - 1, run_first, run_last - run_first + 1),
+        ]
         hot = ~gone & in_sorted(key, np.sort(joined(told["hot"], U64)))
         single, n = ranges_within(first[hot], (last - first + 1)[hot])[0], (last - first + 1)[hot]
         owner = np.repeat(text[hot], n)
@@ -226,19 +274,18 @@ def send_pieces(buckets: int):
         strings["hash"], strings["start"] = hashes[left], single[left] - offsets[owner[left]]
         strings["doc_id"], strings["text_key"] = ids[owner[left]], text_keys[owner[left]]
         on = np.flatnonzero(~gone & ~hot)
-        key, anchor, first, last, text = (x[on] for x in (key, anchor, first, last, text))
-        sizes = last - first + LENGTH
-        where, at = ranges_within(first, sizes)
-        bounds = np.append(at, len(where)).astype(np.int32)
-        cut = pa.Array.from_buffers(
-            pa.binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(data[where])]
-        )
-        columns = [
-            pa.array(key.view(np.int64)), pa.array(np.full(len(key), g, np.int32)),
-            pa.array(ids[text]), pa.array(text_keys[text]), pa.array(first - offsets[text]),
-            pa.array((anchor - first).astype(np.int32)), pa.array((last - first + 1).astype(np.int32)), cut,
-        ]
-        yield pa.record_batch(columns, names=NAMES)
+        columns = []
+        for i in range(0, max(len(on), 1), SENT):
+            k, at, a, b, t = (x[on[i : i + SENT]] for x in (key, anchor, first, last, text))
+            where, begins = ranges_within(a, b - a + LENGTH)
+            bounds = np.append(begins, len(where)).astype(np.int32)
+            cut = pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(bounds), pa.py_buffer(data[where])])
+            columns = [
+                pa.array(k.view(np.int64)), pa.array(np.full(len(k), g, np.int32)),
+                pa.array(ids[t]), pa.array(text_keys[t]), pa.array(a - offsets[t]),
+                pa.array((at - a).astype(np.int32)), pa.array((b - a + 1).astype(np.int32)), cut,
+            ]
+            yield pa.record_batch(columns, names=NAMES)
         text, first, n = (np.concatenate(x) for x in zip(*known, strict=True))
         local = packed_runs(ids[text], text_keys[text], first - offsets[text], n)
         rows = [(PACKED, g, local)] if len(local) else []

@@ -83,6 +83,31 @@ def test_hot_anchors_are_dealt_by_string(spark, docs, rows, monkeypatch):
     assert plain(suffix_dedup.digests(docs)) == ordered(brute.suffix_dedup(rows))
 
 
+def test_long_runs_make_few_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    from ledgerloom.llm.texts import utf8
+
+    rng = np.random.default_rng(1)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in (1, 2, 7, 31, 66, 68, 69, 70, 90)]
+    texts = [w * (700 // len(w)) for w in words] + ["-" * 400, "ab" + "-" * 300 + "cd" + "-" * 150 + "é" * 120]
+    texts += ["-" * 130, "-" * 130, words[3] * 9, words[3][5:] + words[3] * 9, "x" + "- " * 200 + "y" * 101]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "-" * 300)]
+    for block in (1 << 19, 256):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        assert plain(suffix_dedup.digests(table(spark, rows))) == ordered(brute.suffix_dedup(rows))
+    monkeypatch.undo()
+    for unit in ("-", "ab", "abcdefg"):
+        data, offsets = utf8(pa.array([unit * (3_000_000 // len(unit))]))
+        told = {"shared": [], "hot": []}
+        documents = pa.table({"doc_id": [1], "text_key": [1], "text": [unit * (3_000_000 // len(unit))]})
+        keys = suffix_dedup.pieces_of(data, offsets)[0][0]
+        assert len(keys) < 1000
+        told["shared"] = [np.unique(keys).tobytes()]
+        sent = sum(b.num_rows for b in suffix_dedup.send_pieces(1)(0, told, documents))
+        assert sent < 1000
+
+
 def test_recompression_names_equal_windows_alike(rows):
     import pyarrow as pa
 
