@@ -239,18 +239,19 @@ def cut_words(texts: pa.Array, parts: pa.Array) -> pa.Array:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of the mix: a document as often as it is taken whole, and its parts as one more.
 
-    Equal rows are numbered, so that each meets one row of the plan.
+    Rows of one id and text are numbered by source, taken or not, so that each meets its own
+    row of the plan.
     """
     numbered = W.partitionBy("doc_id", "text_key").orderBy("source")
-    keyed = docs.withColumn("text_key", text_key(F.col("text")))
-    plan = mixed(keyed.select("doc_id", "source", word_count(F.col("text")).alias("size"), "text_key"))
-    plan = plan.where((F.col("copies") > 0) | (F.size("parts") > 0)).select(
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", "source", text_key(F.col("text")).alias("text_key")
+    )
+    plan = mixed(keyed.select("doc_id", "source", word_count(F.col("row.text")).alias("size"), "text_key"))
+    plan = plan.select(
         F.col("doc_id").alias("p_id"), F.col("text_key").alias("p_key"), "copies", "parts",
         F.row_number().over(numbered).alias("p_place"),
-    )
-    rows = keyed.select(
-        F.struct(*docs.columns).alias("row"), "doc_id", "text_key", F.row_number().over(numbered).alias("place")
-    )
+    ).where((F.col("copies") > 0) | (F.size("parts") > 0))
+    rows = keyed.select("row", "doc_id", "text_key", F.row_number().over(numbered).alias("place"))
     same = F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key"))
     met = rows.join(plan, same & (F.col("place") == F.col("p_place"))).withColumn(
         "cut", F.when(F.size("parts") > 0, cut_words(F.col("row.text"), F.col("parts")))

@@ -95,3 +95,21 @@ def test_no_documents(spark, steps):
     for _, apply in pipeline.STAGES:
         docs = apply(spark, docs, SF_DIR)
         assert docs.count() == 0
+
+
+def test_a_text_of_two_sources_keeps_the_source_it_is_taken_from(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, f"w{i} a b c d", "en", f"s{k}", 12) for i in range(400) for k in ((2, 3), (0, 1))[i % 2]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({n: F.lit("clash") for n in ("text_key", "copies", "parts", "place", "row", "size")})
+    size = mixing.word_count(F.col("text"))
+    plan = mixing.mixed(docs.select("doc_id", "source", size.alias("size")))
+    extra = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["end"] - p["first"])
+    words = F.sum(F.col("copies") * F.col("size") + extra).alias("words")
+    expected = plan.groupBy("doc_id", "source").agg(words).where("words > 0")
+    made = stage(mixing.mixed_documents(docs), "mixed")
+    assert made.columns == docs.columns
+    found = made.groupBy("doc_id", "source").agg(F.sum(size).alias("words"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert {r["text_key"] for r in made.collect()} == {"clash"}
