@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     byte_bpe,
+    chat,
+    hard_negatives,
     hnsw,
     mixing,
+    prefix_trie,
     quality,
     recompression,
     simhash,
@@ -89,3 +92,22 @@ def op9_simhash_dedup(spark, sf_dir):
 def op10_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.digests(byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path))
+
+
+@query
+def op11_chat_format(spark, sf_dir):
+    said = chat.with_awkward(table(spark, sf_dir, "conversations"))
+    return chat.digests(chat.format_conversations(said))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns)).drop("node")
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)

@@ -1,0 +1,129 @@
+"""Operator 13: hard negatives, against all pairs."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import hard_negatives as hard
+
+SCHEMA = "vec_id long, label long, vector array<float>"
+
+
+def made(kind: str):
+    rng = np.random.default_rng(11)
+    if kind == "spread":
+        vectors, labels = rng.normal(size=(400, 8)), rng.integers(0, 4, 400)
+    elif kind == "clusters":
+        vectors = rng.normal(size=(5, 8))[rng.integers(0, 5, 400)] + 0.05 * rng.normal(size=(400, 8))
+        labels = np.where(rng.random(400) < 0.4, 1, rng.integers(0, 3, 400))
+    else:  # ties: few different scores, zero vectors, negative scores
+        vectors, labels = rng.integers(-1, 2, (400, 3)) * 1.0, rng.integers(0, 3, 400)
+    rows = [(i, int(y), v.astype(np.float32).tolist()) for i, (y, v) in enumerate(zip(labels, vectors, strict=True))]
+    n = vectors.shape[1]
+    odd = [(500, None, [1.0] * n), (501, 1, None), (502, 1, [1.0] * (n - 1) + [None]), (503, 1, [float("nan")] * n),
+           (550, 1, [float("inf")] * n), (None, 1, [1.0] * n), (551, 1, [])]
+    return [*rows, *odd, rows[0], rows[7]]
+
+
+def brute(rows, anchors, low=50, high=95):
+    usable = {}
+    for vec_id, label, v in rows:
+        if vec_id is None or label is None or not v or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        usable[vec_id] = label, np.floor(256 * np.array(v, np.float32).astype(np.float64)).astype(np.int64)
+    out = []
+    for a, (label, v) in usable.items():
+        if a % anchors:
+            continue
+        scored = [(-int(v @ w), i, y) for i, (y, w) in usable.items() if i != a]
+        for s, p, _ in sorted(x for x in scored if x[2] == label)[:5]:
+            fits = sorted(x for x in scored if x[2] != label and low * -s <= 100 * -x[0] <= high * -s)
+            out += [(a, p, n + 1, i, -s, -t) for n, (t, i, _) in enumerate(fits[:3])]
+    return sorted(out)
+
+
+def mined(df, anchors=10):
+    return sorted(map(tuple, hard.mine(df, F.col("vec_id") % anchors == 0).collect()))
+
+
+@pytest.mark.parametrize("kind", ["spread", "clusters", "ties"])
+@pytest.mark.parametrize("block", [8192, 9])
+def test_against_all_pairs(spark, monkeypatch, kind, block):
+    monkeypatch.setattr(hard, "BLOCK", block)
+    monkeypatch.setattr(hard, "TILE", 32)
+    rows = made(kind)
+    expected = brute(rows, 10)
+    assert expected and mined(spark.createDataFrame(rows, SCHEMA)) == expected
+
+
+def test_no_rows_and_other_columns(spark):
+    df = spark.createDataFrame(made("clusters"), SCHEMA)
+    assert mined(df.limit(0)) == mined(df.where("vec_id % 10 <> 0")) == []
+    names = ["v", "cell", "own", "angles", "norm", "is_anchor", "query_id", "row", "score", "place", "rank"]
+    assert mined(df.withColumns({n: F.lit("clash") for n in names})) == mined(df)
+    assert mined(df.where("vec_id = 0")) == []
+
+
+def test_an_id_with_two_vectors(spark):
+    rows = [(0, 1, [1.0, 0.0]), (0, 1, [0.0, 1.0]), (1, 1, [1.0, 1.0]), (2, 2, [0.0, 0.7]), (3, 2, [0.7, 0.0])]
+    # The smaller row of id 0 is the anchor; neither row is its hit.
+    assert mined(spark.createDataFrame(rows, SCHEMA)) == [(0, 1, 1, 2, 65536, 256 * 179)]
+
+
+def test_bounds_hold_and_rule_out(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(6, 16))
+    points = np.floor(256 * (centres[rng.integers(0, 6, 3000)] + 0.1 * rng.normal(size=(3000, 16)))).astype(np.int64)
+    points[:5] = 0
+    references = hard.directions(points[:500].astype(float))
+    found, norms = hard.angles(points, references)
+    mine, size = found[:50], norms[:50]
+    scores = points[:50] @ points.T
+    under, over = hard.row_bounds(mine, size, found, norms)
+    assert (under <= scores).all() and (scores <= over).all()
+    order = np.lexsort((found.min(1), found.argmin(1)))
+    for a in range(0, 3000, hard.TILE):
+        tile = order[a : a + hard.TILE]
+        under, over = hard.tile_bounds(mine, size, found[tile], norms[tile])
+        assert (under[:, None] <= scores[:, tile]).all() and (scores[:, tile] <= over[:, None]).all()
+
+
+def test_only_overlapping_windows_are_scored():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 32))
+    cluster = rng.integers(0, 8, 4000)
+    points = np.floor(256 * (centres[cluster] + 0.05 * rng.normal(size=(4000, 32)))).astype(np.int64)
+    references = hard.directions(points[:500].astype(float))
+    found, norms = hard.angles(points, references)
+    order = np.lexsort((found.min(1), found.argmin(1)))
+    bounds = np.arange(4001, dtype=np.int32)
+    batch = pa.record_batch(
+        [pa.array(order), pa.array(cluster[order] % 2),
+         pa.ListArray.from_arrays(bounds * 32, points[order].ravel()),
+         pa.ListArray.from_arrays(bounds * len(references), found[order].ravel()), pa.array(norms[order])],
+        names=["vec_id", "label", "v", "angles", "norm"],
+    )
+    ids = np.arange(0, 4000, 50)
+    low = (points[ids] ** 2).sum(1)[:, None] * 9 // 10
+    search = hard.Search(ids, cluster[ids] % 2, points[ids], references, low, low * 2, 5, True)
+    (made,) = search.run(iter([batch]))
+    pairs = sum(int((cluster % 2 == cluster[i] % 2).sum()) for i in ids)
+    # A quarter of the pairs lie in one cluster; whole tiles cross their borders.
+    assert search.scored < 0.5 * pairs
+    expected = []
+    for i, bar in zip(ids.tolist(), low[:, 0], strict=True):
+        scores = points @ points[i]
+        fits = [j for j in range(4000) if j != i and cluster[j] % 2 == cluster[i] % 2 and bar <= scores[j] <= 2 * bar]
+        expected += [(i, j) for j in sorted(fits, key=lambda j: (-scores[j], j))[:5]]
+    found = zip(made.column(0).to_pylist(), made.column(2).to_pylist(), strict=True)
+    assert sorted(found) == sorted(expected)
+
+
+def test_score_windows():
+    scores = np.array([0, 1, 100, 101, -1, -100, 7, 2**62, 65536])
+    low, high = hard.windows(scores, np.ones(9, bool), 50, 95)
+    for s, a, b in zip(scores.tolist(), low.tolist(), high.tolist(), strict=True):
+        assert a == -(-50 * s // 100) and b == 95 * s // 100
