@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from ledgerloom.functions.text import NON_TERM
+from ledgerloom.functions.scripts import TERM
 from ledgerloom.operators.index import B, BUCKETS, K1, NAMES
 from ledgerloom.operators.ranking import STEPS
 from ledgerloom.session import Namespace
@@ -38,15 +38,14 @@ def install_order_lookup(spark: SparkSession, ns: Namespace) -> None:
 def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
     """``search_rules(question, k)``: the ``k`` best passages of the saved index."""
     table = {part: ns.table(name) for part, name in NAMES.items()}
-    pattern = NON_TERM.replace("\\", "\\\\")
+    pattern = TERM.replace("\\", "\\\\")
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION search_rules(question STRING, k INT)
         RETURNS TABLE (rank INT, chunk_id STRING, score DOUBLE, text STRING)
         RETURN
           WITH wanted AS (
-            SELECT DISTINCT term FROM (
-              SELECT explode(split(lower(question), '{pattern}')) AS term) WHERE term <> ''
+            SELECT DISTINCT explode(regexp_extract_all(lower(question), '{pattern}', 1)) AS term
           ), scored AS (
             SELECT p.chunk_id, sum(cast(floor((cast(floor(w.idf * (p.tf * {K1 + 1}D
                      / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / w.mean_terms)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerloom.functions.scripts import CLOSES, ENDS, WIDE
+
 SILVER = """
   SELECT o.o_orderkey AS order_id,
          cast(o.o_orderdate + INTERVAL 336 MONTH AS DATE) AS order_date,
@@ -50,6 +52,54 @@ CHUNKS = rf"""
         WHERE len(words) > 0)"""
 
 
+SCRIPTS = [
+    r"\p{Han}", r"\p{Hiragana}", r"\p{Katakana}ーｰ", r"\p{Thai}", r"\p{Lao}", r"\p{Khmer}", r"\p{Myanmar}",
+]
+ALL_SCRIPTS = "".join(SCRIPTS)
+UNIT = (
+    rf"[^ \t\n\r{ALL_SCRIPTS}{WIDE}{ENDS}{CLOSES}]*[{ALL_SCRIPTS}{WIDE}]{{0,3}}"
+    rf"[{ENDS}]*[{CLOSES}]*[ \t\n\r]*"
+)
+
+
+def without_blanks(text: str) -> str:
+    return (
+        rf"translate(regexp_replace(lower({text}), '[ \t\n\r]+', '', 'g'), "
+        "'abcdefghijklmnopqrstuvwxyz.,', 'あいうえおかきくけこアイウエオカキクケコ注文返品規則。、')"
+    )
+
+
+# Words, or three characters; each piece goes to the last end of a sentence in the second half
+# of a hundred, or to the hundredth.
+STOP = """coalesce(list_max(list_filter(range({0} + 50, least({0} + 99, len(units)) + 1), lambda i: ends[i])),
+                   least({0} + 99, len(units)))"""
+
+SPACELESS_CHUNKS = rf"""
+  WITH RECURSIVE texts AS (SELECT doc_id, {without_blanks("text")} AS text FROM documents),
+  cut AS MATERIALIZED (
+    SELECT doc_id, units, list_transform(units, lambda u: regexp_matches(u, '[{ENDS}]')) AS ends
+    FROM (SELECT doc_id, list_filter(regexp_extract_all(regexp_replace(text, '^[ \t\n\r]+', ''), '{UNIT}'),
+                                     lambda u: u <> '') AS units FROM texts)),
+  pieces AS (
+    SELECT doc_id, 0 AS chunk_no, 1::BIGINT AS start, {STOP.format("1")} AS stop FROM cut WHERE len(units) > 0
+    UNION ALL
+    SELECT doc_id, chunk_no + 1, stop + 1, {STOP.format("(stop + 1)")}
+    FROM pieces JOIN cut USING (doc_id) WHERE stop < len(units))
+  SELECT doc_id, cast(chunk_no AS INTEGER) AS chunk_no, doc_id || '#' || chunk_no AS chunk_id,
+         {squeezed("array_to_string(units[start : stop + 20], '')")} AS text
+  FROM pieces JOIN cut USING (doc_id) WHERE start = 1 OR len(units) - start + 1 > 20"""
+
+
+def pair_list(text: str) -> str:
+    """Terms of a text that may hold scripts without blanks."""
+    runs = "|".join(f"[{s}]+" for s in SCRIPTS)
+    apart = rf"regexp_replace(lower({text}), '({runs})', ' \1 ', 'g')"
+    return rf"""flatten(list_transform(
+      list_filter(regexp_split_to_array({apart}, '[^\p{{L}}\p{{N}}{ALL_SCRIPTS}]+'), lambda t: t <> ''),
+      lambda t: CASE WHEN regexp_matches(t, '^(?:{runs})$') AND length(t) > 1
+                     THEN list_transform(range(1, length(t)), lambda i: substr(t, i, 2)) ELSE [t] END))"""
+
+
 def term_list(text: str) -> str:
     return (
         rf"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), "
@@ -57,10 +107,11 @@ def term_list(text: str) -> str:
     )
 
 
-INDEX_CTES = f"""
+def index_ctes(chunks: str, listed=term_list) -> str:
+    return f"""
   passages AS MATERIALIZED (
-    SELECT *, {term_list("text")} AS terms, len({term_list("text")}) AS n_terms
-    FROM ({CHUNKS})),
+    SELECT *, {listed("text")} AS terms, len({listed("text")}) AS n_terms
+    FROM ({chunks})),
   postings AS MATERIALIZED (
     SELECT term, chunk_id, cast(count(*) AS INTEGER) AS tf,
            cast(any_value(n_terms) AS INTEGER) AS n_terms
@@ -69,6 +120,9 @@ INDEX_CTES = f"""
   corpus AS MATERIALIZED (SELECT count(*) AS n_passages, avg(n_terms) AS mean_terms FROM passages)
 """
 
+
+INDEX_CTES = index_ctes(CHUNKS)
+
 QUESTIONS = """
   SELECT conv_id || '-' || turn AS question_id,
          text || CASE WHEN turn % 2 = 0 THEN ' ORD-' || (conv_id * 37 + turn * 11) ELSE '' END
@@ -82,11 +136,11 @@ PARSED = rf"""
   FROM ({QUESTIONS})"""
 
 
-def search_ctes(questions: str, k: int) -> str:
+def search_ctes(questions: str, k: int, chunks: str = CHUNKS, listed=term_list) -> str:
     """CTEs up to ``hits(question_id, rank, chunk_id, score)``."""
-    return f"""{INDEX_CTES},
+    return f"""{index_ctes(chunks, listed)},
   asked AS (SELECT DISTINCT question_id, term
-            FROM (SELECT question_id, unnest({term_list("text")}) AS term FROM ({questions}))),
+            FROM (SELECT question_id, unnest({listed("text")}) AS term FROM ({questions}))),
   scored AS (
     SELECT question_id, chunk_id,
            sum(cast(floor((floor(
@@ -209,6 +263,11 @@ ORACLE: dict[str, str] = {
     "search_rules_by_postings": f"""
       WITH {search_ctes("SELECT item_id AS question_id, text FROM benchmark", 5)}
       SELECT question_id, rank, chunk_id, score FROM hits""",
+    "spaceless_chunks": SPACELESS_CHUNKS,
+    "search_spaceless": f"""
+      WITH {search_ctes(f"SELECT item_id AS question_id, {without_blanks('text')} AS text FROM benchmark", 5,
+                        SPACELESS_CHUNKS, pair_list)}
+      SELECT question_id, rank, chunk_id, score FROM hits""",
     "search_rules_sql": f"""
       WITH {search_ctes("SELECT 0 AS question_id, min(text) AS text FROM benchmark", 5)}
       SELECT rank, chunk_id, score, p.text FROM hits JOIN passages p USING (chunk_id)""",

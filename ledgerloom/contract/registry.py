@@ -18,6 +18,8 @@ from ledgerloom.contract.tables import (
     questions,
     silver,
     silver_lookup,
+    spaceless_chunks,
+    spaceless_questions,
     stored_index,
     table,
 )
@@ -290,6 +292,19 @@ def search_order_info_sql(spark, sf_dir):
         return flat(found, "order_amount", to="double")
 
 
+@query("spaceless_chunks")
+def spaceless_passages(spark, sf_dir):
+    """Passages of texts without blanks, which end with sentences."""
+    return spaceless_chunks(spark, sf_dir)
+
+
+@query("search_spaceless")
+def search_spaceless(spark, sf_dir):
+    """Questions to an index over texts without blanks."""
+    index = build_index(spaceless_chunks(spark, sf_dir))
+    return search_rules(spaceless_questions(spark, sf_dir), index, 5)
+
+
 @query("search_vectors")
 def search_vectors_centroids(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")

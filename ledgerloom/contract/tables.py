@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.text import BLANKS
 from ledgerloom.operators.index import RulesIndex, build_index
 from ledgerloom.operators.passages import chunk
 from ledgerloom.plans.medallion import silver_of, to_gold, to_silver
@@ -47,6 +48,25 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk(documents(spark, sf_dir))
 
 
+# Stand-ins for the letters, of three scripts without blanks.
+LETTERS = "abcdefghijklmnopqrstuvwxyz.,"
+SIGNS = "あいうえおかきくけこアイウエオカキクケコ注文返品規則。、"
+
+
+def without_blanks(text: Column) -> Column:
+    """A text as if written in scripts without blanks."""
+    return F.translate(F.regexp_replace(F.lower(text), BLANKS, ""), LETTERS, SIGNS)
+
+
+def spaceless_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", without_blanks(F.col("text")).alias("text"))
+    return chunk(texts)
+
+
+def spaceless_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_questions(spark, sf_dir).withColumn("text", without_blanks(F.col("text")))
+
+
 def stored_index(spark: SparkSession, sf_dir: str) -> RulesIndex:
     """The index over all documents, built once per session and data folder."""
     key = (spark.conf.get("spark.app.id"), sf_dir)

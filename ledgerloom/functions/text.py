@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.scripts import SPACELESS, TERM
+
 BLANKS = r"[ \t\n\r]+"
 NON_TERM = r"[^\p{L}\p{N}]+"
 SCRIPTS = r"(?is)<(script|style)[^>]*>.*?</(script|style)>"
@@ -37,8 +39,14 @@ def words(text: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Search terms: lower-case runs of letters and digits, with repeats."""
-    return F.filter(F.split(F.lower(text), NON_TERM), lambda t: t != "")
+    """Search terms, with repeats: lower-case runs of letters and digits.
+
+    Scripts written without blanks have no such runs: there every two neighbouring
+    characters of one script are a term, and a character without a neighbour is.
+    """
+    spaced = F.filter(F.split(F.lower(text), NON_TERM), lambda t: t != "")
+    pairs = F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(1))
+    return F.when(text.rlike(f"[{SPACELESS}]"), pairs).otherwise(spaced)
 
 
 def parse_order_id(text: Column) -> Column:
