@@ -51,15 +51,15 @@ def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
                      / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / w.mean_terms)))
                      * 1e12D + 0.5D) AS DOUBLE) + 500000D) / 1000000D) AS BIGINT))
                    / {STEPS}D AS score
-            FROM (SELECT v.term, a.mean_terms, pmod(xxhash64(v.term), {BUCKETS}) AS bucket,
-                         ln(1 + (a.n_passages - v.df + 0.5D) / (v.df + 0.5D)) AS idf,
-                         explode(sequence(0, v.n_blocks - 1)) AS block
-                  FROM (SELECT term, (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
+            FROM (SELECT a.term, a.mean_terms, b.items,
+                         ln(1 + (a.n_passages - v.df + 0.5D) / (v.df + 0.5D)) AS idf
+                  FROM (SELECT term, pmod(xxhash64(term), {BUCKETS}) AS bucket,
+                               (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
                                (SELECT mean_terms FROM {table["corpus"]}) AS mean_terms
                         FROM wanted) a
-                  JOIN {table["vocabulary"]} v ON v.term = a.term) w
-            JOIN {table["postings"]} p
-              ON p.bucket = w.bucket AND p.term = w.term AND p.block = w.block
+                  JOIN {table["vocabulary"]} v ON v.term = a.term
+                  JOIN {table["blocks"]} b ON b.bucket = a.bucket AND b.term = a.term) w,
+                 LATERAL inline(w.items) AS p
             GROUP BY p.chunk_id HAVING score > 0
           ), leading AS (
             SELECT chunk_id, score, row_number() OVER (

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,13 +13,18 @@ from ledgerloom.operators.index import build_index, index_report
 from ledgerloom.operators.passages import chunk
 from ledgerloom.operators.ranking import best
 from ledgerloom.operators.search import (
+    asked_blocks,
+    asked_of_parts,
+    bars,
     distinct_questions,
+    leading,
     pieces,
     score_by_postings,
     score_by_scan,
     search_rules,
     weigh_terms,
 )
+from ledgerloom.staging import stage
 
 
 def passages_of(spark, text, **kwargs):
@@ -85,13 +91,13 @@ def asked():
 
 @pytest.fixture(scope="module")
 def built(spark, corpus):
-    before, index_module.BLOCK_ROWS = index_module.BLOCK_ROWS, 50
+    before, index_module.PART_PASSAGES = index_module.PART_PASSAGES, 50
     rows = [("d", i, key, text) for i, (key, text) in enumerate(corpus.items())]
     chunks = spark.createDataFrame(
         rows, "doc_id string, chunk_no int, chunk_id string, text string"
     )
     yield build_index(chunks)
-    index_module.BLOCK_ROWS = before
+    index_module.PART_PASSAGES = before
 
 
 @pytest.fixture(scope="module")
@@ -147,7 +153,7 @@ def test_both_ways_give_the_same(built, questions, corpus, asked, sent):
     distinct = distinct_questions(questions)
     weighted = weigh_terms(distinct, built)
     for scored in (
-        score_by_postings(weighted, built),
+        score_by_postings(stage(weighted, "weighted"), built, 5),
         score_by_scan(weighted, built, 5, sent_terms=sent),
     ):
         hits = best(scored, "query_id", "chunk_id", 5)
@@ -178,11 +184,16 @@ def test_pieces_hold_whole_queries_and_at_most_the_limit(built, questions, asked
     assert len(seen) == len(set(seen)) == len(known)
 
 
-def test_common_terms_lie_in_several_blocks(built):
-    the = built.vocabulary.where("term = 'the'").first()
-    assert the["n_blocks"] == math.ceil(the["df"] / 50) > 1
-    blocks = built.postings.where("term = 'the'").groupBy("block").count().collect()
-    assert len(blocks) == the["n_blocks"]
+def test_common_terms_lie_in_several_blocks(built, corpus):
+    n_parts = built.corpus.first()["n_parts"]
+    assert n_parts == math.ceil(len(corpus) / 50)
+    the = built.blocks.where("term = 'the'").collect()
+    assert 1 < len(the) <= n_parts and len({r["part"] for r in the}) == len(the)
+    assert max(len(r["items"]) for r in the) < 2 * 50
+    mean = built.corpus.first()["mean_terms"]
+    for r in the:
+        most = max(i["tf"] * 2.2 / (i["tf"] + 1.2 * (0.25 + 0.75 * i["n_terms"] / mean)) for i in r["items"])
+        assert r["most"] == pytest.approx(most, abs=1e-12)
 
 
 def test_no_question_matches(spark, built):
@@ -240,10 +251,10 @@ def test_one_long_question_does_not_make_many_pieces(spark, built, corpus, monke
 @pytest.mark.parametrize("k", [1, 6])
 def test_the_way_and_the_layout_change_nothing(spark, built, questions, k):
     one_task = index_module.RulesIndex(
-        built.passages.coalesce(1), built.postings, built.vocabulary, built.corpus
+        built.passages.coalesce(1), built.blocks, built.vocabulary, built.corpus
     )
     many = index_module.RulesIndex(
-        built.passages.repartition(13), built.postings, built.vocabulary, built.corpus
+        built.passages.repartition(13), built.blocks, built.vocabulary, built.corpus
     )
     expected = listed(search_rules(questions, built, k, "postings"))
     assert listed(search_rules(questions, one_task, k, "scan")) == expected
@@ -256,30 +267,73 @@ def plan_of(df):
 
 def test_few_terms_read_few_folders(spark, built):
     one = spark.createDataFrame([(1, "w1 w2")], "question_id int, text string")
-    plan = plan_of(score_by_postings(weigh_terms(distinct_questions(one), built), built))
+    weighted = stage(weigh_terms(distinct_questions(one), built), "weighted")
+    plan = plan_of(asked_blocks(weighted, built.blocks))
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
     assert "bucket#" in plan and " IN (" in plan
 
 
-def test_postings_are_shuffled_once_and_not_by_the_term_alone(spark, corpus, monkeypatch):
+def test_postings_are_shuffled_once_and_not_by_the_term_alone(spark, corpus):
     rows = [("d", i, key, text) for i, (key, text) in enumerate(corpus.items())]
     chunks = spark.createDataFrame(
         rows, "doc_id string, chunk_no int, chunk_id string, text string"
     )
-    monkeypatch.setattr(index_module, "BLOCK_ROWS", 50)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     seen = {}
 
     def keep(df, part, *by):
-        if part == "postings":
-            # Above the few spread terms, below the vocabulary.
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1500")
+        if part == "blocks":
             seen["plan"] = plan_of(df)
         return index_module.stage(df, part, *by)
 
-    try:
-        build_index(chunks, keep)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    build_index(chunks, keep)
     exchanges = [line for line in seen["plan"].splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 1 and "bucket" in exchanges[0]
+    assert len(exchanges) == 1 and "bucket" in exchanges[0] and "share" in exchanges[0]
+
+
+@pytest.fixture(scope="module")
+def sorted_corpus(spark):
+    """Rare words lie in few parts, common ones in all."""
+    rng = random.Random(9)
+    common = ["the", "of", "and", "to"]
+    texts = {}
+    for i in range(600):
+        texts[f"p{i:03d}"] = " ".join([*rng.choices(common, k=12), *rng.choices([f"r{i % 40}", f"q{i}"], k=3)])
+    rows = [("d", i, key, text) for i, (key, text) in enumerate(texts.items())]
+    before, index_module.PART_PASSAGES = index_module.PART_PASSAGES, 20
+    chunks = spark.createDataFrame(rows, "doc_id string, chunk_no int, chunk_id string, text string")
+    yield texts, build_index(chunks)
+    index_module.PART_PASSAGES = before
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_blocks_below_the_bar_are_skipped(spark, sorted_corpus, k):
+    texts, index = sorted_corpus
+    asked = {i: f"the of and r{i} q{i}" for i in range(20)}
+    frame = spark.createDataFrame(list(asked.items()), "question_id int, text string")
+    same(listed(search_rules(frame, index, k, "postings")), brute_force(texts, asked, k))
+    weighted = stage(weigh_terms(distinct_questions(frame), index), "weighted")
+    mean = index.corpus.select("mean_terms").scalar()
+    found = stage(bars(weighted, index.blocks, mean, k), "bars")
+    assert found.count() == 20
+    plan = asked_of_parts(weighted, stage(asked_blocks(weighted, index.blocks), "asked"), found).toArrow()
+    n_open = n_leading = 0
+    for part in set(plan.column("part").to_pylist()):
+        rows = plan.filter(pc.equal(plan.column("part"), part))
+        leads, of, _, _ = leading(rows)
+        n_open += sum(int(i in set(of[leads])) for i in of)
+        n_leading += int(leads.sum())
+        # Nothing but the rare words can bring a passage over the bar.
+        assert k > 1 or not {t for t, x in zip(rows.column("term").to_pylist(), leads, strict=True) if x} & {"the", "of", "and"}
+    assert n_open < 0.6 * plan.num_rows and n_leading < 0.4 * plan.num_rows
+    hits = score_by_postings(weighted, index, k)
+    assert hits.groupBy("query_id").count().agg(F.max("count")).first()[0] <= k * index.corpus.first()["n_parts"]
+    assert hits.join(found, "query_id").where("steps < bar").isEmpty()
+
+
+def test_bars_are_reached_by_the_best(spark, built, questions, corpus, asked):
+    weighted = stage(weigh_terms(distinct_questions(questions), built), "weighted")
+    mean = built.corpus.select("mean_terms").scalar()
+    found = bars(weighted, built.blocks, mean, 5)
+    hits = best(score_by_scan(weighted, built, 5), "query_id", "chunk_id", 5).where("rank = 5")
+    checked = hits.join(found, "query_id").select(F.round(F.col("score") * 1e6).alias("steps"), "bar").collect()
+    assert checked and all(r["steps"] >= r["bar"] for r in checked)
