@@ -40,7 +40,8 @@ DOCUMENTS = f"""
   UNION ALL
   SELECT 'page-' || page_id, {squeezed(TITLE)}, {squeezed(STRIPPED)} FROM pages"""
 
-CHUNKS = rf"""
+def chunks_of(documents: str) -> str:
+    return rf"""
   SELECT doc_id, cast(start // 100 AS INTEGER) AS chunk_no,
          doc_id || '#' || (start // 100) AS chunk_id,
          array_to_string(words[start + 1 : start + 120], ' ') AS text
@@ -48,10 +49,12 @@ CHUNKS = rf"""
                unnest(generate_series(0, greatest(len(words) - 21, 0), 100)) AS start
         FROM (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '[ \t\n\r]+'),
                                          lambda w: w <> '') AS words
-              FROM ({DOCUMENTS}))
+              FROM ({documents}))
         WHERE len(words) > 0)"""
 
 
+CHUNKS = chunks_of(DOCUMENTS)
+
 SCRIPTS = [
     r"\p{Han}", r"\p{Hiragana}", r"\p{Katakana}ーｰ", r"\p{Thai}", r"\p{Lao}", r"\p{Khmer}", r"\p{Myanmar}",
 ]
@@ -136,6 +139,12 @@ PARSED = rf"""
   FROM ({QUESTIONS})"""
 
 
+# What is left after additions, removals and a replacement.
+GROWN = """
+  SELECT doc_id, CASE WHEN doc_id % 16 = 0 THEN text || ' amended' ELSE text END AS text
+  FROM documents WHERE doc_id % 4 IN (0, 2) OR doc_id % 8 = 3"""
+
+
 def search_ctes(questions: str, k: int, chunks: str = CHUNKS, listed=term_list) -> str:
     """CTEs up to ``hits(question_id, rank, chunk_id, score)``."""
     return f"""{index_ctes(chunks, listed)},
@@ -264,6 +273,9 @@ ORACLE: dict[str, str] = {
       WITH {search_ctes("SELECT item_id AS question_id, text FROM benchmark", 5)}
       SELECT question_id, rank, chunk_id, score FROM hits""",
     "spaceless_chunks": SPACELESS_CHUNKS,
+    "search_grown_index": f"""
+      WITH {search_ctes("SELECT item_id AS question_id, text FROM benchmark", 5, chunks_of(GROWN))}
+      SELECT question_id, rank, chunk_id, score FROM hits""",
     "search_spaceless": f"""
       WITH {search_ctes(f"SELECT item_id AS question_id, {without_blanks('text')} AS text FROM benchmark", 5,
                         SPACELESS_CHUNKS, pair_list)}

@@ -36,7 +36,9 @@ from ledgerloom.operators.answers import (
 from ledgerloom.operators.index import build_index, in_namespace, index_report
 from ledgerloom.operators.model import apply_model, prompt
 from ledgerloom.operators.scoring import delta_summary, evaluate, evaluate_delta, score_cases
+from ledgerloom.operators.passages import chunk
 from ledgerloom.operators.search import search_rules
+from ledgerloom.operators.segments import GrowingIndex
 from ledgerloom.operators.vectors import centroids, search_vectors
 from ledgerloom.plans import reports
 from ledgerloom.plans.medallion import set_up, to_gold
@@ -298,6 +300,20 @@ def spaceless_passages(spark, sf_dir):
     return spaceless_chunks(spark, sf_dir)
 
 
+@query("search_grown_index")
+def search_grown_index(spark, sf_dir):
+    """Questions to an index after documents were added, removed and replaced."""
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = GrowingIndex(spark, fresh_path(spark, "grown"))
+    index.add(chunk(texts.where("doc_id % 4 IN (0, 1)")))
+    index.add(chunk(texts.where("doc_id % 4 = 2")))
+    index.remove(texts.where("doc_id % 4 = 1"))
+    index.add(chunk(texts.where("doc_id % 8 = 3")))
+    amended = F.concat("text", F.lit(" amended"))
+    index.add(chunk(texts.where("doc_id % 16 = 0").withColumn("text", amended)))
+    return search_rules(benchmark_questions(spark, sf_dir), index.open(), 5)
+
+
 @query("search_spaceless")
 def search_spaceless(spark, sf_dir):
     """Questions to an index over texts without blanks."""
