@@ -203,6 +203,9 @@ ORACLE: dict[str, str] = {
     "bronze_stream_events": """
       SELECT *, CASE WHEN event_id % 4 = 3 THEN event_type || '!' END AS note,
              true AS has_source FROM events""",
+    "bronze_evolving_events": """
+      SELECT *, CASE WHEN event_id % 4 >= 2 THEN event_type || '!' END AS note,
+             true AS has_source FROM events""",
     "session_scalars": """
       SELECT o_orderstatus, count(*) AS n_orders, true AS user_known,
              true AS user_is_session_user, true AS catalog_is_current

@@ -47,7 +47,7 @@ from ledgerloom.sinks import create_once, replace_table
 from ledgerloom.sources import landing_files, read_bronze, read_documents
 from ledgerloom.sources.documents import first_line
 from ledgerloom.staging import fresh_path, stage
-from ledgerloom.streaming import ingest_files
+from ledgerloom.streaming import ingest_evolving, ingest_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,6 +101,24 @@ def bronze_stream_events(spark, sf_dir):
     )
 
 
+@query("bronze_evolving_events")
+def bronze_evolving_events(spark, sf_dir):
+    """Events land in four drops, of which the last two have one more column; no schema is
+    given, and a last run finds nothing new."""
+    events = table(spark, sf_dir, "events")
+    landing, progress = fresh_path(spark, "landing"), fresh_path(spark, "progress")
+    drop = F.pmod("event_id", F.lit(4))
+    noted = events.withColumn("note", F.concat("event_type", F.lit("!")))
+    with private_namespace(spark) as private:
+        name = open_namespace(spark, **private).table("events_bronze")
+        for number, rows in enumerate((events, events, noted, noted)):
+            rows.where(drop == number).write.parquet(f"{landing}/drop{number}")
+            if number:
+                ingest_evolving(spark, f"{landing}/*", name, progress)
+        stored = ingest_evolving(spark, f"{landing}/*", name, progress)
+        return stored.select(*events.columns, "note", F.col("source_file").isNotNull().alias("has_source"))
+
+
 def land_items(spark: SparkSession, sf_dir: str) -> str:
     """A folder with one text file per benchmark item, its number in the path. The writer
     ends each file with a line end."""

@@ -26,28 +26,27 @@ def apply_model(
     """``df`` with ``out``, the model's answer, and ``out_error``.
 
     ``model`` takes a series of prompts and returns as many answers. Only the
-    prompts go to Python, as Arrow batches cut into ``batch_rows``. When a batch
-    fails, its prompts are tried one by one, so that a bad one costs only its own
-    answer: the answer is null and ``out_error`` says why. The good prompts of such a
-    batch are thus sent twice, which a model that is paid by the call charges twice.
+    prompts go to Python, as Arrow batches cut into ``batch_rows``. A batch that fails is
+    halved until the prompts that fail are alone, so that a bad one costs only its own
+    answer: the answer is null and ``out_error`` says why. Each bad prompt makes the model
+    be called about twice log2 of ``batch_rows`` times; the good prompts beside it are sent
+    again each time, which a model that is paid by the prompt charges again.
     """
 
-    def one(text: str) -> tuple[object, str | None]:
-        try:
-            return model(pd.Series([text])).iloc[0], None
-        except Exception as error:  # noqa: BLE001 - any failure of the caller's model
-            return None, f"{type(error).__name__}: {error}"
-
     def run(texts: pd.Series) -> pd.DataFrame:
+        if texts.empty:
+            return pd.DataFrame({"answer": [], "error": []}, dtype=object)
         try:
             answers = list(model(texts.reset_index(drop=True)))
             if len(answers) != len(texts):
                 raise ValueError(f"{len(answers)} answers to {len(texts)} prompts")
             return pd.DataFrame({"answer": answers, "error": [None] * len(answers)}, dtype=object)
-        except Exception:  # noqa: BLE001
-            return pd.DataFrame(
-                [one(text) for text in texts], columns=["answer", "error"], dtype=object
-            )
+        except Exception as error:  # noqa: BLE001 - any failure of the caller's model
+            if len(texts) == 1:
+                said = f"{type(error).__name__}: {error}"
+                return pd.DataFrame({"answer": [None], "error": [said]}, dtype=object)
+            half = len(texts) // 2
+            return pd.concat([run(texts[:half]), run(texts[half:])], ignore_index=True)
 
     def in_batches(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in series:

@@ -36,6 +36,40 @@ def replace_table(df: DataFrame, table: str, fmt: str = "parquet", by: Sequence[
     return df.sparkSession.table(table)
 
 
+# Partition columns of a table that is filled by batches.
+STREAM, BATCH = "_stream", "_batch"
+
+
+def write_batch(df: DataFrame, table: str, stream: str, number: int, fmt: str = "parquet") -> None:
+    """Store the rows of batch ``number`` of ``stream``, and only them, under that number.
+
+    What is there of the same batch is replaced, so a batch that is written again, because
+    the run ended before it was known to be written, stores nothing twice. The table is
+    created if missing. Columns it lacks are added to it; columns the batch lacks are null.
+    """
+    spark = df.sparkSession
+    stamped = df.withColumns({STREAM: F.lit(stream), BATCH: F.lit(number).cast("long")})
+    if not spark.catalog.tableExists(table):
+        stamped.limit(0).write.format(fmt).partitionBy(STREAM, BATCH).mode("ignore").saveAsTable(table)
+    have = spark.table(table).columns
+    new = [f for f in df.schema.fields if f.name not in have]
+    if new:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
+    target = [f for f in spark.table(table).schema.fields if f.name not in (STREAM, BATCH)]
+    rows = df.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in target
+        ]
+    )
+    named = stream.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({STREAM} = '{named}', {BATCH} = {number}) SELECT * FROM {{rows}}",
+        rows=rows,
+    )
+
+
 def replace_view(spark: SparkSession, view: str, query: str) -> DataFrame:
     """Create or replace a catalog view."""
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")

@@ -85,7 +85,24 @@ def test_models_may_return_numbers_and_must_answer_all(spark):
     numbers = apply_model(df, F.col("t"), lambda s: s.str.len(), "n", "int")
     assert sorted(r["n"] for r in numbers.collect()) == [2, 3]
     short = apply_model(df, F.col("t"), lambda s: s.iloc[:0], "n", "int").collect()
-    assert all(r["n"] is None and "IndexError" in r["n_error"] for r in short)
+    assert all(r["n"] is None and "0 answers to 1 prompts" in r["n_error"] for r in short)
+
+
+def test_a_bad_prompt_costs_few_calls(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def model(texts):
+        with open(log, "a") as calls:
+            calls.write(f"{len(texts)}\n")
+        if texts.str.contains("bad").any():
+            raise ValueError("no")
+        return texts.str.upper()
+
+    asked = spark.createDataFrame([(i, "bad" if i == 77 else f"t{i}") for i in range(256)], "i int, t string").coalesce(1)
+    rows = {r["i"]: r for r in apply_model(asked, F.col("t"), model, "out").collect()}
+    assert all((r["out"], r["out_error"]) == (f"T{i}", None) for i, r in rows.items() if i != 77)
+    assert (rows[77]["out"], rows[77]["out_error"]) == (None, "ValueError: no")
+    assert len(open(log).readlines()) == 1 + 2 * 8
 
 
 @pytest.fixture(scope="module")
