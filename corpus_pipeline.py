@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import byte_bpe, mixing, quality, simhash, suffix_dedup
+from ledgerloom.llm import byte_bpe, mixing, near_copies, quality, simhash, suffix_dedup
 from ledgerloom.llm.texts import small_batches
 from ledgerloom.staging import stage
 
@@ -24,9 +24,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group stays; five-word shingles of 0.8 or more link documents."""
     small_batches(spark)
-    return simhash.one_of_each(docs)
+    return simhash.one_of_each(docs, near_copies.grouped)
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

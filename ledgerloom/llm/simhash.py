@@ -24,7 +24,7 @@ A null id is never a component's id unless the component has no other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -344,12 +344,15 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, groups_of: Callable[[DataFrame], DataFrame] = grouped
+) -> DataFrame:
     """The document with the smallest id of each component, with all its columns.
 
     Of rows with that id, the one whose text has the smallest hash; of equal rows, one.
+    ``groups_of`` gives doc_id, text_key, group and component_id of every row.
     """
-    found = grouped(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = groups_of(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = found.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     chosen = first.select(F.col("first.doc_id").alias("chosen_id"), F.col("first.text_key").alias("chosen_key"))
     keyed = docs.select(F.struct(*docs.columns).alias("row"), text_key(F.col("text")).alias("text_key"), "doc_id")

@@ -78,8 +78,23 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def shingle_set(text, size=5):
+    w = words((text or "").translate(LOWER))
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def similar(a, b):
+    """Common shingles by all shingles; texts without words are alike."""
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
 def components(rows, prints, furthest=3):
     """The smallest id reachable from each row."""
+    return linked(rows, lambda i, j: (prints[i] ^ prints[j]).bit_count() <= furthest)
+
+
+def linked(rows, near):
+    """The smallest id reachable from each row over pairs that are ``near``."""
     root = list(range(len(rows)))
 
     def find(x):
@@ -89,7 +104,7 @@ def components(rows, prints, furthest=3):
 
     for i in range(len(rows)):
         for j in range(i):
-            if (prints[i] ^ prints[j]).bit_count() <= furthest:
+            if near(i, j):
                 root[find(i)] = find(j)
     low = {}
     for i, (doc, _) in enumerate(rows):

@@ -46,9 +46,13 @@ def test_good_documents_stay(spark, steps):
 
 def test_one_of_each_group_stays(steps):
     rows = texts(steps[1])
-    low = brute.components(rows, [brute.fingerprint(t) for _, t in rows])
-    expected = [row for row, c in zip(rows, low, strict=True) if row[0] == c]
-    assert texts(steps[2]) == expected
+    sets = [brute.shingle_set(t) for _, t in rows]
+    low = brute.linked(rows, lambda i, j: brute.similar(sets[i], sets[j]) >= 0.8)
+    first = [row for row, c in zip(rows, low, strict=True) if row[0] == c]
+    kept = texts(steps[2])
+    # No text leaves but for one that it is similar to; nearly all that may leave do.
+    assert set(first) <= set(kept)
+    assert len(kept) - len(first) <= 0.1 * (len(rows) - len(first))
 
 
 def test_repeated_strings_go(steps):
