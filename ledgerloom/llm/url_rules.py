@@ -3,8 +3,8 @@
 A URL is a set of tokens: its scheme, each ending of its host, the first directory and the
 ending of its path, the names of its query's fields, and whether it has a fragment. The
 document number that ends a page's path ties the page to a label. FP-growth finds frequent
-combinations of tokens with the label that says block, over all labelled pages; those with
-enough support and confidence are the rules. A rule blocks a URL that has all its tokens.
+combinations of tokens over all pages whose label says block; those that are sure enough
+over all labelled pages are the rules. A rule blocks a URL that has all its tokens.
 
 Rules are matched through an inverted index: each is listed once, under its rarest token,
 and a URL looks up its own tokens. Only distinct URLs that no fixed rule settles are
@@ -32,10 +32,11 @@ FIXED = (
     ("org", "/fr/", "allow"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# A rule needs this part of the labelled pages, and at least so many of them.
-SUPPORT, LEAST = 0.002, 10
-CONFIDENCE = 0.6
-LABEL = "label=block"
+# A rule is held by so many bad pages, of all pages that hold it at least this share is bad
+# (the lower end of a 99 % interval), and it has at most so many items.
+LEAST, CONFIDENCE, Z, LONGEST = 10, 0.6, 2.5758, 3
+# The widest basket that FP-growth gets, which lists all its parts; a multiple of LONGEST.
+WIDE = 9
 PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
 
@@ -100,49 +101,125 @@ def labelled(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return numbered.join(marked, "doc_id").select("tokens", "bad")
 
 
-def mine(marked: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+def lower_bound(hits: Column, n: Column) -> Column:
+    """The lower end of Wilson's interval for a share of ``hits`` in ``n``."""
+    share, z = hits / n, F.lit(Z)
+    spread = z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+    return (share + z * z / (2 * n) - spread) / (1 + z * z / n)
+
+
+def pieces(items: Column) -> Column:
+    """Parts of a basket, none wider than ``WIDE``, such that any ``LONGEST`` (3) items of
+    it stand in a part together: every three of its groups of ``WIDE / 3`` items."""
+    each = WIDE // LONGEST
+    last = F.ceil(F.size(items) / each).cast("int") - 1
+    some = F.filter(F.sequence(F.lit(0), last), lambda i: F.lit(True))
+
+    def group(i: Column) -> Column:
+        return F.slice(items, i * each + 1, F.lit(each))
+
+    def from_(i: Column) -> Column:
+        return F.filter(some, lambda j: j > i)
+
+    split = F.flatten(
+        F.flatten(
+            F.transform(
+                some,
+                lambda i: F.transform(
+                    from_(i),
+                    lambda j: F.transform(from_(j), lambda k: F.concat(group(i), group(j), group(k))),
+                ),
+            )
+        )
+    )
+    return F.when(F.size(items) <= WIDE, F.array(items)).otherwise(split)
+
+
+def candidates(baskets: DataFrame) -> DataFrame:
+    """Combinations (antecedent) of up to ``LONGEST`` items that FP-growth finds often enough
+    among the bad pages; in wide baskets some are counted more than once.
+
+    Equal parts are given to FP-growth ``LEAST`` times at most: what is met that often is
+    frequent, however much oftener it is met.
+    """
+    parts = baskets.where("bad > 0").select(F.explode(pieces(F.col("items"))).alias("items"), "bad")
+    often = parts.groupBy("items").agg(F.least(F.sum("bad"), F.lit(LEAST)).cast("int").alias("times"))
+    given = stage(often.select("items", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("items"), "parts")
+    n = given.count()
+    if n < LEAST:
+        return baskets.select(F.col("items").alias("antecedent")).limit(0)
+    # Spark rounds the product of this share and n up to a whole number.
+    model = FPGrowth(itemsCol="items", minSupport=(LEAST - 0.5) / n, minConfidence=CONFIDENCE).fit(given)
+    return model.freqItemsets.where(F.size("items") <= LONGEST).select(F.array_sort("items").alias("antecedent"))
+
+
+def looked_up(baskets: DataFrame, rules: DataFrame) -> DataFrame:
+    """Baskets beside the rules of which they hold all items, by the rule's rarest item."""
+    by_item = baskets.select("*", F.explode("items").alias("rarest"))
+    whole = F.forall("antecedent", lambda t: F.array_contains(F.col("items"), t))
+    return by_item.join(rules, "rarest").where(whole)
+
+
+def mine(marked: DataFrame) -> DataFrame:
     """Rules (antecedent, confidence, rarest) that tell to block.
 
-    The number of rules is bounded by the support, not by the pages.
+    Tokens that stand in too few bad pages go first. Tokens that stand in exactly the same
+    labelled pages count as one item, told by two 64-bit sums of hashes; a rule with one of
+    them needs them all. A rule has ``LONGEST`` items at most, is held by ``LEAST`` bad pages
+    at least, and the lower bound of its confidence is ``CONFIDENCE``; none of that depends on
+    how large the table is. Every candidate is counted over all labelled pages.
     """
-    baskets = stage(
-        marked.select(
-            F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(LABEL)))).otherwise(F.col("tokens")).alias("items")
+    sets = stage(
+        marked.groupBy(F.array_sort("tokens").alias("tokens")).agg(
+            F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")
         ),
-        "baskets",
+        "sets",
     )
-    n = baskets.count()
-    if n < LEAST:
-        empty = "antecedent array<string>, confidence double, rarest string"
-        return marked.sparkSession.createDataFrame([], empty)
-    model = FPGrowth(itemsCol="items", minSupport=max(support, LEAST / n), minConfidence=confidence).fit(baskets)
-    frequent = stage(model.freqItemsets.select("items", "freq"), "frequent")
-    # A rule's confidence is the part of the baskets with its tokens that has the label.
-    plain = frequent.where(~F.array_contains("items", LABEL)).select(F.array_sort("items").alias("antecedent"), F.col("freq").alias("all"))
-    told = frequent.where(F.array_contains("items", LABEL)).select(
-        F.array_sort(F.array_remove("items", LABEL)).alias("antecedent"), F.col("freq").alias("bad")
+    one, two = F.xxhash64("tokens"), F.xxhash64(F.lit("second"), "tokens")
+    held = sets.select(one.alias("one"), two.alias("two"), "n", "bad", F.explode("tokens").alias("token"))
+    common = held.groupBy("token").agg(
+        F.sum("n").alias("freq"), F.sum("bad").alias("bad"), F.count("*").alias("sets"),
+        F.bit_xor("one").alias("one"), F.bit_xor("two").alias("two"),
+    ).where(F.col("bad") >= LEAST)
+    items = stage(
+        common.groupBy("one", "two", "sets", "freq")
+        .agg(F.min("token").alias("token"), F.array_sort(F.collect_list("token")).alias("members"))
+        .select("token", "members", "freq"),
+        "items",
+    )
+    cut = held.join(items.select("token"), "token").groupBy("one", "two", "n", "bad").agg(
+        F.array_sort(F.collect_list("token")).alias("items")
     )
-    sure = plain.join(told, "antecedent").withColumn("confidence", F.col("bad") / F.col("all"))
-    rules = stage(sure.where(F.col("confidence") >= confidence), "rules")
-    # A rule that holds all tokens of a shorter one blocks nothing more.
-    drop_one = rules.select("antecedent", F.explode("antecedent").alias("token")).select(
-        "antecedent", F.array_remove("antecedent", F.col("token")).alias("shorter")
+    baskets = stage(cut.groupBy("items").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), "baskets")
+    item = items.select(F.col("token").alias("item"), "members", "freq")
+    spread = candidates(baskets).distinct().withColumn("item", F.explode("antecedent")).join(item, "item")
+    listed = stage(
+        spread.groupBy("antecedent").agg(
+            F.min_by("item", F.struct("freq", "item")).alias("rarest"),
+            F.array_sort(F.flatten(F.collect_list("members"))).alias("all_tokens"),
+        ),
+        "candidates",
+    )
+    counted = looked_up(baskets, listed).groupBy("antecedent", "all_tokens", "rarest").agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad")
+    )
+    sure = (F.col("bad") >= LEAST) & (lower_bound(F.col("bad"), F.col("n")) >= CONFIDENCE)
+    rules = stage(counted.where(sure), "rules")
+    # A rule that holds all items of a shorter one blocks nothing more.
+    drop_one = rules.select("antecedent", F.explode("antecedent").alias("item")).select(
+        "antecedent", F.array_remove("antecedent", F.col("item")).alias("shorter")
     )
     known = rules.select(F.col("antecedent").alias("shorter"))
     needless = drop_one.join(known, "shorter", "left_semi").select("antecedent").distinct()
-    rules = rules.join(needless, "antecedent", "left_anti")
-    single = frequent.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    listed = rules.withColumn("token", F.explode("antecedent")).join(single, "token")
-    return listed.groupBy("antecedent", "confidence").agg(F.min_by("token", F.struct("freq", "token")).alias("rarest"))
+    return rules.join(needless, "antecedent", "left_anti").select(
+        F.col("all_tokens").alias("antecedent"), (F.col("bad") / F.col("n")).alias("confidence"), "rarest"
+    )
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The distinct URLs that have all tokens of some rule."""
-    held = urls.select("url", tokens(F.col("url")).alias("tokens"))
-    looked_up = held.select("url", "tokens", F.explode("tokens").alias("rarest"))
-    found = looked_up.join(rules, "rarest")
-    whole = F.forall("antecedent", lambda t: F.array_contains(F.col("tokens"), t))
-    return found.where(whole).select("url").distinct()
+    held = urls.select("url", tokens(F.col("url")).alias("items"))
+    return looked_up(held, rules).select("url").distinct()
 
 
 def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:

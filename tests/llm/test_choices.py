@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 
@@ -161,6 +162,63 @@ def test_mined_rules_equal_a_count_by_hand(web):
         assert r["rarest"] in r["antecedent"]
 
 
+def wide(spark, urls, bad):
+    rows = [(i, f"{u[0]}/{i}?{u[1]}") for i, u in enumerate(urls)]
+    labels = [(i, 1, int(b)) for i, b in enumerate(bad)]
+    return spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int"
+    )
+
+
+def test_many_fields_of_equal_pages_are_one_item(spark):
+    fields = "&".join(f"f{j}={j}" for j in range(30))
+    urls = [("https://a.com/x", fields)] * 12 + [("https://a.com/x", "g=1")] * 12
+    (rule,) = url_rules.mine(url_rules.labelled(*wide(spark, urls, [1] * 12 + [0] * 12))).collect()
+    assert set(rule["antecedent"]) == {f"field=f{j}" for j in range(30)} and rule["confidence"] == 1
+
+
+def test_wide_baskets_give_all_short_rules(spark, monkeypatch):
+    """Fields in differing pages stay items of their own; every rule of up to three is found."""
+    monkeypatch.setattr(url_rules, "CONFIDENCE", 0.5)
+    rng = np.random.default_rng(5)
+    chosen = [rng.random(14) < 0.75 for _ in range(120)]
+    urls = [("https://a.com/x", "&".join(f"f{j}=1" for j in np.flatnonzero(c))) for c in chosen]
+    bad = [int(c[2] and c[5] and c[7]) or int(rng.random() < 0.05) for c in chosen]
+    marked = url_rules.labelled(*wide(spark, urls, bad))
+    pages_ = [(set(r["tokens"]), r["bad"]) for r in marked.collect()]
+    found = {tuple(r["antecedent"]): r["confidence"] for r in url_rules.mine(marked).collect()}
+    # Tokens of every page are one item.
+    same = {t for t in pages_[0][0] if all(t in held for held, _ in pages_)}
+    items = [frozenset({t}) for t in sorted(set().union(*(h for h, _ in pages_)) - same)] + [frozenset(same)]
+
+    def sure(parts):
+        held = [b for tokens, b in pages_ if frozenset().union(*parts) <= tokens]
+        n, hits = len(held), sum(held)
+        if hits < url_rules.LEAST:
+            return False
+        z, p = url_rules.Z, hits / n
+        low = (p + z * z / 2 / n - z * (p * (1 - p) / n + z * z / 4 / n / n) ** 0.5) / (1 + z * z / n)
+        return low >= 0.5
+
+    passing = {c for k in (1, 2, 3) for c in itertools.combinations(items, k) if sure(c)}
+    sets = {frozenset(c) for c in passing}
+    least = {s for s in sets if not any(s - {x} in sets for x in s)}
+    assert {tuple(sorted(frozenset().union(*s))) for s in least} == set(found) and found
+
+
+@pytest.mark.parametrize("others", [60, 6000])
+def test_a_host_is_judged_alike_in_small_and_large_tables(spark, others):
+    urls = [("https://bad.com/x", "q=1")] * 20 + [(f"https://h{i % 7}.org/y", "q=1") for i in range(others)]
+    web = wide(spark, urls, [1] * 20 + [0] * others)
+    blocked = url_rules.judge(*web).where("verdict = 'block'")
+    assert {r["host"] for r in blocked.collect()} == {"bad.com"} and blocked.count() == 20
+
+
+def test_a_url_of_very_many_fields(spark):
+    urls = [("https://a.com/x", "&".join(f"f{j}=1" for j in range(20_000)))] * 2 + [("https://a.com/x", "g")] * 3
+    assert url_rules.judge(*wide(spark, urls, [1, 1, 0, 0, 0])).where("verdict = 'allow'").count() == 5
+
+
 def test_urls_without_labels_or_pages(web):
     urls, labels = web
     verdicts = {r["verdict"] for r in url_rules.judge(urls, labels.limit(0)).where("rule IS NULL").collect()}
