@@ -196,6 +196,60 @@ DELTA = f"""
                   ELSE 'same' END AS change
       FROM a FULL JOIN b USING (case_id)"""
 
+# Poisson weights of mean 1 from 8 digits of a digest, by the distribution function.
+WEIGHT = """list_sum(list_transform(range(12), lambda k: CASE WHEN
+  ('0x' || substr(md5('1:' || case_id || ':' || (r // 4)), (r % 4) * 8 + 1, 8))::BIGINT >= cdf[k + 1]
+  THEN 1 ELSE 0 END))"""
+
+
+def resampled(scored: str, sums: list[str], measures: dict[str, str], by: str = "") -> str:
+    """Rows (by, measure, value, low, high) of 100 resamples; ``by`` is a column or nothing."""
+    group = f"{by}, " if by else ""
+    totals = ", ".join(f"sum(w * {c}) AS {c}" for c in sums)
+    told = " UNION ALL ".join(
+        f"SELECT {group}r, '{m}' AS measure, {e} AS value FROM totals" for m, e in measures.items()
+    )
+    return f"""
+      WITH scored AS ({scored}),
+      steps AS (SELECT list(floor(f * 4294967296)::BIGINT ORDER BY k) AS cdf FROM (
+                  SELECT k, sum(exp(-1) / factorial(k::INT)) OVER (ORDER BY k) AS f FROM range(12) t(k))),
+      weighted AS (SELECT s.*, r, {WEIGHT} AS w FROM scored s, range(100) t(r), steps
+                   UNION ALL SELECT *, -1, 1 FROM scored),
+      totals AS (SELECT {group}r, {totals} FROM weighted GROUP BY {group}r),
+      told AS ({told})
+      SELECT {group}measure, round(max(value) FILTER (r < 0), 6) AS value,
+             round(quantile_cont(value, 0.025) FILTER (r >= 0), 6) AS low,
+             round(quantile_cont(value, 0.975) FILTER (r >= 0), 6) AS high
+      FROM told GROUP BY {group}measure"""
+
+
+def outcome_sql(least: int, end: str = "") -> str:
+    return f"""1 AS n_cases{end}, (n_chars >= {least} AND quality = 1)::INT AS tp{end},
+      (n_chars >= {least} AND quality <> 1)::INT AS fp{end},
+      (n_chars < {least} AND quality = 1)::INT AS fn{end},
+      ((n_chars >= {least}) = (quality = 1))::INT AS hit{end}"""
+
+
+COUNTS = ["n_cases", "tp", "fp", "fn", "hit"]
+
+
+def ratio_sql(end: str = "") -> dict[str, str]:
+    n, tp, fp, fn, hit = (c + end for c in COUNTS)
+    return {
+        "precision": f"{tp} / nullif(({tp} + {fp})::DOUBLE, 0)",
+        "recall": f"{tp} / nullif(({tp} + {fn})::DOUBLE, 0)",
+        "f1": f"2 * {tp} / nullif((2 * {tp} + {fp} + {fn})::DOUBLE, 0)",
+        "hit_rate": f"{hit} / nullif({n}::DOUBLE, 0)",
+    }
+
+
+INTERVALS = resampled(f"SELECT case_id, lang, {outcome_sql(400)} FROM ({GUESSES})", COUNTS, ratio_sql(), "lang")
+DIFFERENCES = resampled(
+    f"SELECT case_id, {outcome_sql(400, '_a')}, {outcome_sql(1500, '_b')} FROM ({GUESSES})",
+    [c + end for end in ("_a", "_b") for c in COUNTS],
+    {m: f"({ratio_sql('_b')[m]}) - ({a})" for m, a in ratio_sql("_a").items()},
+)
+
 ORACLE: dict[str, str] = {
     "scan_orders": """
       SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice FROM orders""",
@@ -227,6 +281,10 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'sales_monthly_gold', count(*) FROM ({GOLD}))""",
     "ctas_idempotent": SILVER_FLAT,
     "overwrite_table": GOLD,
+    "publish_table": GOLD,
+    "sales_gold_rolling": GOLD,
+    "evaluate_intervals": INTERVALS,
+    "difference_intervals": f"SELECT *, low > 0 OR high < 0 AS is_real FROM ({DIFFERENCES})",
     "record_request": f"""
       SELECT question_id AS request_id, order_id, text AS request_text FROM ({PARSED})""",
     "orders_silver": SILVER_FLAT,
@@ -356,3 +414,4 @@ ORACLE: dict[str, str] = {
              cast(n_chars >= 400 AS INT) = quality AS "right"
       FROM ({GUESSES})""",
 }
+ORACLE["apply_model_once"] = ORACLE["apply_model"]

@@ -34,7 +34,8 @@ from ledgerloom.operators.answers import (
     search_order_info,
 )
 from ledgerloom.operators.index import build_index, in_namespace, index_report
-from ledgerloom.operators.model import apply_model, prompt
+from ledgerloom.operators.bootstrap import difference_intervals, evaluate_intervals
+from ledgerloom.operators.model import apply_model, apply_model_once, prompt
 from ledgerloom.operators.scoring import delta_summary, evaluate, evaluate_delta, score_cases
 from ledgerloom.operators.passages import chunk
 from ledgerloom.operators.search import search_rules
@@ -42,8 +43,9 @@ from ledgerloom.operators.segments import GrowingIndex
 from ledgerloom.operators.vectors import centroids, search_vectors
 from ledgerloom.plans import reports
 from ledgerloom.plans.medallion import set_up, to_gold
+from ledgerloom.plans.rolling import RollingGold
 from ledgerloom.session import open_namespace, session_facts
-from ledgerloom.sinks import create_once, replace_table
+from ledgerloom.sinks import create_once, publish, replace_table
 from ledgerloom.sources import landing_files, read_bronze, read_documents
 from ledgerloom.sources.documents import first_line
 from ledgerloom.staging import fresh_path, stage
@@ -205,6 +207,16 @@ def overwrite_table(spark, sf_dir):
         return flat(replaced, "total_sales", "avg_order_value")
 
 
+@query("publish_table")
+def publish_table(spark, sf_dir):
+    """Three versions under one name; the last is made from the one before."""
+    with private_namespace(spark) as private:
+        name = open_namespace(spark, **private).table("sales")
+        publish(table(spark, sf_dir, "orders"), name)
+        publish(silver(spark, sf_dir), name)
+        return flat(publish(to_gold(spark.table(name)), name), "total_sales", "avg_order_value")
+
+
 @query("record_request")
 def request_log(spark, sf_dir):
     sent = requests_from(questions(spark, sf_dir))
@@ -228,6 +240,29 @@ def sales_monthly_gold(spark, sf_dir):
     return flat(gold(spark, sf_dir), "total_sales", "avg_order_value")
 
 
+@query("sales_gold_rolling")
+def sales_gold_rolling(spark, sf_dir):
+    """Orders come in three batches. Of the first, many have a wrong price, date or customer;
+    the others bring the orders it lacks and correct it, and one is applied twice."""
+    orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    kind = F.pmod("o_orderkey", F.lit(5))
+    early = orders.where(kind < 4).withColumns(
+        {
+            "o_totalprice": F.when(kind == 0, F.col("o_totalprice") * 2 + 1).otherwise(F.col("o_totalprice")),
+            "o_orderdate": F.when(kind == 1, F.add_months("o_orderdate", 40)).otherwise(F.col("o_orderdate")),
+            "o_custkey": F.when(kind == 2, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")),
+        }
+    )
+    with private_namespace(spark) as private:
+        rolling = RollingGold(spark, open_namespace(spark, **private))
+        rolling.apply(1, early, customer, nation)
+        late = orders.where(kind.isin(0, 4))
+        rolling.apply(2, late, customer, nation)
+        rolling.apply(2, late, customer, nation)
+        rolling.apply(3, orders.where(kind.isin(1, 2)), customer, nation)
+        return flat(rolling.gold(), "total_sales", "avg_order_value")
+
+
 @query("dash_monthly_sales")
 def dash_monthly_sales(spark, sf_dir):
     return flat(reports.monthly_sales(gold(spark, sf_dir)), "total_sales")
@@ -423,6 +458,18 @@ def apply_model_lengths(spark, sf_dir):
     )
 
 
+@query("apply_model_once")
+def apply_model_once_lengths(spark, sf_dir):
+    """The second run asks only what failed in the first."""
+    asking = prompt("Is this document long?", F.col("text"))
+    asked = table(spark, sf_dir, "documents").select("doc_id", asking.alias("prompt"))
+    with private_namespace(spark) as private:
+        store = open_namespace(spark, **private).table("answers")
+        for _ in range(2):
+            told = apply_model_once(asked, F.col("prompt"), length_class, "length", store, "answer")
+        return told.select("doc_id", "answer", "answer_error")
+
+
 def guesses(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
     """Documents called good when they have at least so many characters."""
     return table(spark, sf_dir, "documents").select(
@@ -443,6 +490,21 @@ def evaluate_answers(spark, sf_dir):
     )
 
 
+RESAMPLES = 100
+
+
+@query("evaluate_intervals")
+def evaluate_answers_intervals(spark, sf_dir):
+    said, truth = guesses(spark, sf_dir, 400), expected(spark, sf_dir)
+    return evaluate_intervals(said, truth, "guess", "quality", ["lang"], resamples=RESAMPLES)
+
+
+@query("difference_intervals")
+def difference_of_runs_intervals(spark, sf_dir):
+    runs = [guesses(spark, sf_dir, least).select("case_id", "guess") for least in (400, 1500)]
+    return difference_intervals(*runs, expected(spark, sf_dir), "guess", "quality", resamples=RESAMPLES)
+
+
 def scored_run(spark: SparkSession, sf_dir: str, least: int) -> DataFrame:
     """Whether each labelled document is guessed right."""
     hit = (F.col("guess") == F.col("quality")).cast("double")

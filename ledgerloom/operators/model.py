@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sinks import create_once
+from ledgerloom.staging import stage
+
 
 def prompt(instruction: str, *parts: Column) -> Column:
     """An instruction and the row's own text, separated by blank lines; nulls
@@ -63,3 +66,54 @@ def apply_model(
         F.col("_model.answer").alias(out),
         F.col("_model.error").alias(f"{out}_error"),
     )
+
+
+def apply_model_once(
+    df: DataFrame,
+    prompts: Column,
+    model: Callable[[pd.Series], pd.Series],
+    name: str,
+    store: str,
+    out: str,
+    returns: str = "string",
+    batch_rows: int = 256,
+    portions: int = 1,
+) -> DataFrame:
+    """``df`` with ``out`` and ``out_error`` as of :func:`apply_model`; no answer is paid twice.
+
+    The table ``store`` holds answers by model ``name`` and SHA-256 of the prompt. Only
+    prompts it lacks are asked, each once however many rows share it; their answers are
+    stored after each of ``portions`` parts, so a run that ends early has paid at most one
+    part for nothing. Prompts that fail are not stored and are asked again by the next run.
+    A null prompt is not asked and has no answer. Let one run at a time write to a store;
+    ``name`` stands for the model with all its settings. A task that is run again, because
+    its executor was lost, asks its prompts again.
+    """
+    spark = df.sparkSession
+    empty = f"model string, prompt_sha256 string, answer {returns}"
+    create_once(spark.createDataFrame([], empty), store)
+
+    def answers() -> DataFrame:
+        mine = spark.table(store).where(F.col("model") == name)
+        return mine.groupBy("prompt_sha256").agg(F.first("answer").alias("answer"))
+
+    asked = df.select(F.struct("*").alias("row"), F.sha2(prompts, 256).alias("prompt_sha256"))
+    wanted = df.select(prompts.alias("prompt")).where("prompt IS NOT NULL")
+    wanted = wanted.withColumn("prompt_sha256", F.sha2("prompt", 256))
+    new = wanted.join(answers().select("prompt_sha256"), "prompt_sha256", "left_anti")
+    fresh = stage(new.dropDuplicates(["prompt_sha256"]), "prompts")
+    failed = []
+    for part in range(portions):
+        some = fresh.where(F.pmod(F.xxhash64("prompt_sha256"), F.lit(portions)) == part)
+        told = apply_model(some, F.col("prompt"), model, "answer", returns, batch_rows)
+        told = stage(told.drop("prompt"), "answers")
+        good = told.where("answer_error IS NULL")
+        good.select(F.lit(name).alias("model"), "prompt_sha256", "answer").write.insertInto(store)
+        failed.append(told.where("answer_error IS NOT NULL").select("prompt_sha256", "answer_error"))
+    errors = failed[0]
+    for more in failed[1:]:
+        errors = errors.unionByName(more)
+    joined = asked.join(answers(), "prompt_sha256", "left").join(errors, "prompt_sha256", "left")
+    return joined.select(
+        "row.*", F.col("answer").alias(out), F.col("answer_error").alias(f"{out}_error")
+    )

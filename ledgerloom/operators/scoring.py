@@ -33,6 +33,30 @@ def score_cases(
     return joined.select("*", *[scorer.alias(name) for name, scorer in scorers.items()])
 
 
+def outcomes(predicted: str, actual: str) -> dict[str, Column]:
+    """What a case adds to the counts of 0/1 predictions; a missing prediction is a 0."""
+    said = F.coalesce(F.col(predicted), F.lit(0)) == 1
+    truth = F.col(actual) == 1
+    told = {"tp": said & truth, "fp": said & ~truth, "fn": ~said & truth, "hit": said == truth}
+    counted = {name: F.coalesce(c.cast("bigint"), F.lit(0)) for name, c in told.items()}
+    return {"n_cases": F.lit(1).cast("bigint")} | counted
+
+
+def ratios(suffix: str = "") -> dict[str, Column]:
+    """The measures, from counts whose names end in ``suffix``; null without a base."""
+    n, tp, fp, fn, hit = (F.col(c + suffix) for c in ("n_cases", "tp", "fp", "fn", "hit"))
+
+    def ratio(part: Column, base: Column) -> Column:
+        return part / F.nullif(base.cast("double"), F.lit(0.0))
+
+    return {
+        "precision": ratio(tp, tp + fp),
+        "recall": ratio(tp, tp + fn),
+        "f1": ratio(2 * tp, 2 * tp + fp + fn),
+        "hit_rate": ratio(hit, n),
+    }
+
+
 def evaluate(
     predictions: DataFrame,
     expected: DataFrame,
@@ -46,39 +70,13 @@ def evaluate(
     A missing prediction counts as 0. Measures without a base are null. All
     counts are summed partially before the one shuffle of a few rows.
     """
-    said = F.coalesce(F.col(predicted), F.lit(0)) == 1
-    truth = F.col(actual) == 1
-    scored = score_cases(
-        predictions,
-        expected,
-        {
-            "tp": (said & truth).cast("bigint"),
-            "fp": (said & ~truth).cast("bigint"),
-            "fn": (~said & truth).cast("bigint"),
-            "hit": (said == truth).cast("bigint"),
-        },
-        case,
-    )
+    scored = score_cases(predictions, expected, outcomes(predicted, actual), case)
     counts = scored.groupBy(*by).agg(
         F.count("*").alias("n_cases"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tp", "fp", "fn", "hit")],
     )
-
-    def ratio(part: Column, base: Column) -> Column:
-        return F.round(part / F.nullif(base.cast("double"), F.lit(0.0)), 6)
-
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return counts.select(
-        *by,
-        "n_cases",
-        "tp",
-        "fp",
-        "fn",
-        ratio(tp, tp + fp).alias("precision"),
-        ratio(tp, tp + fn).alias("recall"),
-        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"),
-        ratio(F.col("hit"), F.col("n_cases")).alias("hit_rate"),
-    )
+    measured = [F.round(c, 6).alias(name) for name, c in ratios().items()]
+    return counts.select(*by, "n_cases", "tp", "fp", "fn", *measured)
 
 
 def evaluate_delta(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -55,6 +57,20 @@ def session_facts(spark: SparkSession) -> dict[str, Column]:
     }
 
 
+# The property of a schema that tells whose it is, as the SHA-256 of the user's name.
+OWNER = "ledgerloom.owner_sha256"
+
+
+class NamespaceTaken(PermissionError):
+    """Another user's name gives the same schema."""
+
+
+def owner_of(spark: SparkSession, schema: str) -> str | None:
+    described = spark.sql(f"DESCRIBE SCHEMA EXTENDED {schema}").collect()
+    said = re.search(rf"{re.escape(OWNER)},([0-9a-f]{{64}})", " ".join(str(r[1]) for r in described))
+    return said[1] if said else None
+
+
 def open_namespace(
     spark: SparkSession,
     preferred_catalog: str = PREFERRED_CATALOG,
@@ -64,16 +80,26 @@ def open_namespace(
     """Create the user's schema if missing and make it current.
 
     The preferred catalog is used if it can hold the schema, otherwise the
-    current one. ``location`` sets the schema's folder.
+    current one. ``location`` sets the schema's folder. Different users can have one schema
+    name; the schema belongs to the first, who is recorded in it when it is created (or, if
+    it has no record, when it is first opened), and the others get :class:`NamespaceTaken`
+    before anything is changed.
     """
     user, current = session_user(spark)
     schema = spark.range(1).select(user_slug(F.lit(user), prefix)).first()[0]
     at = f" LOCATION '{location}'" if location else ""
+    owner = hashlib.sha256(user.encode()).hexdigest()
+    at += f" WITH DBPROPERTIES ('{OWNER}' = '{owner}')"
     catalog = preferred_catalog
     try:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{catalog}`.`{schema}`{at}")
     except AnalysisException:
         catalog = current
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{catalog}`.`{schema}`{at}")
-    spark.sql(f"USE `{catalog}`.`{schema}`")
+    name = f"`{catalog}`.`{schema}`"
+    if owner_of(spark, name) is None:
+        spark.sql(f"ALTER SCHEMA {name} SET DBPROPERTIES ('{OWNER}' = '{owner}')")
+    if owner_of(spark, name) not in (owner, None):
+        raise NamespaceTaken(f"schema {name} belongs to another user than {user}; choose another prefix")
+    spark.sql(f"USE {name}")
     return Namespace(user, catalog, schema)

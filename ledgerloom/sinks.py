@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,44 @@ def write_batch(df: DataFrame, table: str, stream: str, number: int, fmt: str =
     )
 
 
+def version_name(name: str, version: str) -> str:
+    closing = "`" if name.endswith("`") else ""
+    return f"{name.removesuffix(closing)}__v{version}{closing}"
+
+
+def versions(spark: SparkSession, name: str) -> list[tuple[int, str]]:
+    """Stored versions of a published table, oldest first: number and table name."""
+    space, _, last = name.rpartition(".")
+    stem = f"{last.strip('`').lower()}__v"
+    shown = spark.sql(f"SHOW TABLES {f'IN {space}' if space else ''} LIKE '{stem}*'").collect()
+    endings = [row["tableName"].lower().removeprefix(stem) for row in shown]
+    return sorted((int(e.split("_")[0]), version_name(name, e)) for e in endings)
+
+
+def publish(df: DataFrame, name: str, fmt: str = "parquet", keep: int = 2) -> DataFrame:
+    """Make ``df`` what readers of ``name`` find, without a moment in between.
+
+    Rows are written to a table of their own; then ``name``, a view, is pointed to it in one
+    change of the catalog. A reader finds the old rows or the new, never none or a mixture,
+    and what was opened before goes on reading the old table until it is dropped: the
+    ``keep`` newest versions stay. A write that fails changes nothing for readers. ``df`` may
+    read ``name``. Rows and schema may both change. Of two writers the last to end wins.
+    """
+    spark = df.sparkSession
+    number = max((n for n, _ in versions(spark, name)), default=0) + 1
+    target = version_name(name, f"{number:08d}_{uuid4().hex[:8]}")
+    df.write.format(fmt).saveAsTable(target)
+    # Altering a view is one change; replacing it would drop it first.
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER VIEW {name} AS SELECT * FROM {target}")
+    else:
+        spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {target}")
+    older = [table for n, table in versions(spark, name) if n <= number and table != target]
+    for table in older[: max(0, len(older) + 1 - max(keep, 1))]:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return spark.table(name)
+
+
 def replace_view(spark: SparkSession, view: str, query: str) -> DataFrame:
     """Create or replace a catalog view."""
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")

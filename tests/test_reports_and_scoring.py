@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.model import apply_model, prompt
+from ledgerloom.operators.model import apply_model, apply_model_once, prompt
 from ledgerloom.operators.scoring import delta_summary, evaluate, evaluate_delta, score_cases
 from ledgerloom.plans import reports
 
@@ -105,6 +106,38 @@ def test_a_bad_prompt_costs_few_calls(spark, tmp_path):
     assert len(open(log).readlines()) == 1 + 2 * 8
 
 
+def test_answers_are_paid_once(spark, tmp_path):
+    log, store = str(tmp_path / "calls"), f"answers_{tmp_path.name}".lower()
+
+    def model(texts):
+        with open(log, "a") as calls:
+            calls.write("\n".join([*texts, ""]))
+        if texts.str.contains("bad").any():
+            raise ValueError("no")
+        return texts.str.upper()
+
+    def ask(rows, name="m", **options):
+        open(log, "w").close()
+        df = spark.createDataFrame(rows, "answer int, t string")
+        told = apply_model_once(df, F.col("t"), model, name, store, "out", **options).collect()
+        assert sorted(r["answer"] for r in told) == sorted(r[0] for r in rows)
+        for r in told:
+            good = r["t"] is not None and "bad" not in r["t"]
+            assert r["out"] == (r["t"].upper() if good else None)
+            assert (r["out_error"] is None) == (good or r["t"] is None)
+        return Counter(open(log).read().splitlines())
+
+    rows = [(i, f"t{i % 20}") for i in range(90)] + [(90, None), (91, ""), (92, "")]
+    assert ask(rows, portions=3) == Counter({f"t{i}": 1 for i in range(20)} | {"": 1})
+    assert ask(rows) == Counter()
+    more = ask([*rows, (93, "new"), (94, "bad one")])
+    assert set(more) == {"new", "bad one"} and more["new"] <= 2
+    assert ask([(1, "new"), (2, "bad one")]) == Counter({"bad one": 1})
+    assert ask([(1, "new")], name="other model") == Counter({"new": 1})
+    assert ask([]) == Counter()
+    spark.sql(f"DROP TABLE {store}")
+
+
 @pytest.fixture(scope="module")
 def cases(spark):
     truths, answers = [(1, 1), (2, 1), (3, 0), (4, 0), (5, 1)], [(1, 1), (2, 0), (3, 1), (4, 0)]

@@ -1,15 +1,16 @@
 from __future__ import annotations
 
 import os
+import threading
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ledgerloom import staging
+from ledgerloom import session, staging
 from ledgerloom.functions import user_slug
-from ledgerloom.session import configure, open_namespace, session_user
-from ledgerloom.sinks import append_new, create_once, replace_table, replace_view
+from ledgerloom.session import NamespaceTaken, configure, open_namespace, session_user
+from ledgerloom.sinks import append_new, create_once, publish, replace_table, replace_view, versions
 
 
 @pytest.fixture
@@ -36,6 +37,30 @@ def test_namespace_falls_back_to_the_current_catalog(spark, ns):
     assert ns.table("t") == f"`{catalog}`.`{ns.schema}`.`t`"
 
 
+def test_a_schema_belongs_to_its_first_user(spark, tmp_path, monkeypatch):
+    at = {"prefix": f"own_{tmp_path.name}_".lower(), "location": str(tmp_path / "s")}
+    users = {"now": "a.b@x"}
+    monkeypatch.setattr(session, "session_user", lambda _: (users["now"], "spark_catalog"))
+    first = open_namespace(spark, **at)
+    create_once(spark.range(3), first.table("t"))
+    spark.sql("USE spark_catalog.default")
+    users["now"] = "a_b@y"
+    with pytest.raises(NamespaceTaken, match="another user than a_b@y"):
+        open_namespace(spark, **at)
+    assert spark.catalog.currentDatabase() == "default"
+    users["now"] = "a.b@x"
+    assert open_namespace(spark, **at) == first and spark.table(first.table("t")).count() == 3
+    # A schema from before owners were recorded is its next user's.
+    old = f"old_{tmp_path.name}_a_b".lower()
+    spark.sql(f"CREATE SCHEMA {old} LOCATION '{tmp_path / 'o'}'")
+    old_at = {"prefix": old.removesuffix("a_b")}
+    assert open_namespace(spark, **old_at).schema == old
+    users["now"] = "a_b@y"
+    with pytest.raises(NamespaceTaken):
+        open_namespace(spark, **old_at)
+    spark.sql("USE spark_catalog.default")
+
+
 def test_configure(spark):
     assert configure(spark).conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
 
@@ -59,6 +84,43 @@ def test_replace_reports_other_errors(spark):
         replace_table(spark.range(1), "`spark_catalog`.`no_such_schema`.`t`")
 
 
+def test_readers_of_a_published_table_find_old_or_new(spark, ns):
+    name = ns.table("p")
+    publish(spark.range(3).toDF("a"), name)
+    opened, seen, errors, done = spark.table(name), [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append(spark.table(name).count())
+            except Exception as error:  # noqa: BLE001 - any failure of a reader counts
+                errors.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in (5, 7):
+        publish(spark.range(n).selectExpr("id AS b"), name, keep=3)
+    done.set()
+    reader.join()
+    assert not errors and set(seen) <= {3, 5, 7} and seen == sorted(seen)
+    assert spark.table(name).columns == ["b"] and opened.count() == 3
+
+
+def test_published_versions_expire_and_failures_change_nothing(spark, ns):
+    name = ns.table("p")
+    for n in range(1, 5):
+        publish(spark.range(n).toDF("a"), name)
+    assert [n for n, _ in versions(spark, name)] == [3, 4]
+    with pytest.raises(Exception, match="no such row"):
+        publish(spark.table(name).select(F.raise_error(F.lit("no such row")).alias("a")), name)
+    assert spark.table(name).count() == 4
+    grown = publish(spark.table(name).unionByName(spark.table(name)), name, keep=1)
+    assert grown.count() == 8 and len(versions(spark, name)) == 1
+    create_once(spark.range(2), ns.table("plain"))
+    with pytest.raises(AnalysisException):
+        publish(spark.range(1), ns.table("plain"))
+
+
 def test_replace_view(spark, ns):
     create_once(spark.range(3).toDF("a"), ns.table("t"))
     view = ns.table("v")
