@@ -130,11 +130,21 @@ def apportion(claims: DataFrame, seats: int) -> DataFrame:
         return claims.withColumn("seats", seats_above(claim, low).cast("long"))
     sure, tied = seats_above(claim, high), seats_above(claim, low) - seats_above(claim, high)
     left = seats - claims.agg(F.sum(sure)).first()[0]
-    order = W.orderBy(F.col("source").asc_nulls_last(), "shard")
-    last = (
+    # Ties are added up in order: what earlier ranges hold, then within the range.
+    place = [F.col("source").asc_nulls_last(), F.col("shard")]
+    ties = stage(
         claims.where(tied > 0)
-        .withColumn("upto", F.sum(tied).over(order))
-        .select("source", "shard", F.greatest(F.lit(0), F.least(tied, left - F.col("upto") + tied)).alias("more"))
+        .select("source", "shard", tied.alias("tied"))
+        .repartitionByRange(RANGES, *place)
+        .withColumn("part", F.spark_partition_id()),
+        "ties",
+    )
+    counted = ties.groupBy("part").agg(F.sum("tied").alias("n"))
+    before = counted.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    upto = F.col("before") + F.sum("tied").over(W.partitionBy("part").orderBy(*place))
+    last = ties.join(before, "part").select(
+        "source", "shard",
+        F.greatest(F.lit(0), F.least(F.col("tied"), left - upto + F.col("tied"))).alias("more"),
     )
     same = claims["source"].eqNullSafe(last["source"]) & (claims["shard"] == last["shard"])
     total = (sure + F.coalesce("more", F.lit(0))).cast("long")

@@ -78,6 +78,17 @@ def test_apportioning_gives_the_highest_quotients(spark):
         assert given == held
 
 
+def test_seats_of_many_equal_shards_go_in_order(spark):
+    """Half of 5,000 shards with equal claims get a seat, those that come first."""
+    names = ["b", "a", None]
+    frame = spark.range(5000).selectExpr(
+        "element_at(array('b', 'a', null), cast(id % 3 + 1 AS int)) AS source", "id AS shard", "8.0D AS claim"
+    )
+    given = {(r["source"], r["shard"]): r["seats"] for r in mixing.apportion(frame, 2500).collect()}
+    order = sorted(given, key=lambda k: (k[0] is None, k[0] or "", k[1]))
+    assert [given[k] for k in order] == [1] * 2500 + [0] * 2500 and {k[0] for k in order} == set(names)
+
+
 def test_mixed_documents_hold_what_was_taken(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_WORDS", 8)
     rows = sourced(spark)
