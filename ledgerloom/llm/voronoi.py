@@ -40,6 +40,8 @@ FILES = 64
 EXACT, LARGEST = 2**53, 2**63 - 1
 NOTHING = np.iinfo(np.int64).max
 WIDER = 1e-9
+# Queries and rows that are scored at once; a task holds a few tables of that size.
+TOGETHER, ROWS = 1024, 2048
 
 
 def whole(vector: Column, scale: int) -> Column:
@@ -119,6 +121,13 @@ def solver(ids: np.ndarray, points: np.ndarray, summary: Summary, k: int):
     length = points.shape[1]
     upper = summary.upper(points.astype(np.float64))
 
+    def best_of_tile(tile: np.ndarray, rows: np.ndarray, named: np.ndarray) -> tuple:
+        scores = -products(points[tile], rows)
+        scores[named[None] == ids[tile][:, None]] = NOTHING
+        order = np.argsort(scores, axis=1, kind="stable")[:, :k]
+        keys = np.take_along_axis(scores, order, 1)
+        return keys, np.where(keys == NOTHING, NOTHING, named[order])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(len(ids), k, NOTHING)
         floor = summary.reached(summary.lower(points.astype(np.float64)), k + 1)
@@ -129,19 +138,13 @@ def solver(ids: np.ndarray, points: np.ndarray, summary: Summary, k: int):
             for cell in np.unique(cells):
                 asking = np.flatnonzero(upper[:, cell] >= floor)
                 own = np.flatnonzero(cells == cell)
-                if len(asking) == 0:
-                    continue
-                for a in range(0, len(own), 4096):
-                    some = own[a : a + 4096]
-                    scores = -products(points[asking], rows[some])
-                    mine = vec_ids[some][None] == ids[asking][:, None]
-                    scores[mine] = NOTHING
-                    # Of equal scores the smaller id goes first: rows are in that order.
-                    by_id = np.argsort(vec_ids[some], kind="stable")
-                    order = np.argsort(scores[:, by_id], axis=1, kind="stable")[:, :k]
-                    keys = np.take_along_axis(scores[:, by_id], order, 1)
-                    named = np.where(keys == NOTHING, NOTHING, vec_ids[some][by_id][order])
-                    best.offer(asking, keys, named)
+                # Of equal scores the smaller id goes first: rows are in that order.
+                own = own[np.argsort(vec_ids[own], kind="stable")]
+                for a in range(0, len(own), ROWS):
+                    some = own[a : a + ROWS]
+                    for b in range(0, len(asking), TOGETHER):
+                        tile = asking[b : b + TOGETHER]
+                        best.offer(tile, *best_of_tile(tile, rows[some], vec_ids[some]))
                 full = best.ids[:, -1] != NOTHING
                 floor = np.where(full, np.maximum(floor, -best.keys[:, -1].astype(np.float64)), floor)
         rows, keys, found = best.found()
