@@ -4,11 +4,14 @@ import math
 import random
 from collections import Counter
 
+import pandas as pd
+import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import index as index_module
+from ledgerloom.operators import search as search_module
 from ledgerloom.operators.index import build_index, index_report
 from ledgerloom.operators.passages import chunk
 from ledgerloom.operators.ranking import best
@@ -337,3 +340,18 @@ def test_bars_are_reached_by_the_best(spark, built, questions, corpus, asked):
     hits = best(score_by_scan(weighted, built, 5), "query_id", "chunk_id", 5).where("rank = 5")
     checked = hits.join(found, "query_id").select(F.round(F.col("score") * 1e6).alias("steps"), "bar").collect()
     assert checked and all(r["steps"] >= r["bar"] for r in checked)
+
+
+def test_terms_are_looked_up_once_per_batch(monkeypatch):
+    weights = pd.DataFrame({"query_id": [b"q"] * 2, "term": ["a", "b"], "idf": [1.0, 2.0]})
+    columns = {
+        "chunk_id": [f"c{i:02}" for i in range(40)],
+        "n_terms": pa.array([2] * 40, pa.int32()),
+        "terms": [["a", "z"], ["b", "z"]] * 20,
+        "tfs": pa.array([[1, 1]] * 40, pa.list_(pa.int32())),
+    }
+    calls, real = [], search_module.pc.index_in
+    monkeypatch.setattr(search_module.pc, "index_in", lambda *a, **b: (calls.append(1), real(*a, **b))[1])
+    monkeypatch.setattr(search_module, "CELLS", 3)
+    found = pa.Table.from_batches(search_module.block_scorer(weights, 2.0, 2)(iter([pa.RecordBatch.from_pydict(columns)])))
+    assert found.column("chunk_id").to_pylist() == ["c01", "c03"] and len(calls) == 1
