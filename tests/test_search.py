@@ -342,6 +342,24 @@ def test_bars_are_reached_by_the_best(spark, built, questions, corpus, asked):
     assert checked and all(r["steps"] >= r["bar"] for r in checked)
 
 
+def test_tasks_that_sort_postings_become_more_with_them(spark, monkeypatch):
+    """And their blocks are put together without another aggregation or sort of postings."""
+    rows = [("d", i, f"d#{i:03}", f"word{i % 7} other") for i in range(300)]
+    chunks = spark.createDataFrame(rows, "doc_id string, chunk_no int, chunk_id string, text string")
+    plans = {}
+
+    def keep(df, part, *by):
+        plans[part] = plan_of(df)
+        return stage(df, part, *by)
+
+    monkeypatch.setattr(index_module, "TASK_POSTINGS", 10, raising=False)
+    monkeypatch.setattr(index_module, "PART_PASSAGES", 64)
+    built = build_index(chunks, keep)
+    assert "Aggregate" not in plans["blocks"] and plans["blocks"].count(", 60)") == 1
+    assert built.blocks.select("term", "part").distinct().count() == built.blocks.count()
+    assert built.postings.select("term", "chunk_id").distinct().count() == built.postings.count() == 600
+
+
 def test_terms_are_looked_up_once_per_batch(monkeypatch):
     weights = pd.DataFrame({"query_id": [b"q"] * 2, "term": ["a", "b"], "idf": [1.0, 2.0]})
     columns = {
