@@ -28,7 +28,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.index import RulesIndex, index_measured, measure_passages, part_of
+from ledgerloom.operators.index import RulesIndex, in_places, index_measured, measure_passages, part_of
 from ledgerloom.staging import stage
 
 FAN = 4
@@ -36,6 +36,8 @@ FAN = 4
 MOST_REMOVED = 0.5
 VERSION = "kind string, name string, n_passages long, n_removed long, since int"
 PARTS = ("passages", "blocks", "vocabulary", "corpus")
+# Begins the names of segments whose parts are ranges of places; parts of older ones are remainders.
+PLACED = "placed-"
 
 
 @dataclass(frozen=True)
@@ -81,7 +83,7 @@ class GrowingIndex:
         chunks = stage(chunks, "added")
         if segments:
             segments, marks = self.marked(segments, marks, chunks.select("doc_id").distinct(), now)
-        segments.append(self.written(measure_passages(chunks.repartition("chunk_id")), now))
+        segments.append(self.written(measure_passages(in_places(chunks)), now))
         self.settle(segments, marks, now)
 
     def remove(self, doc_ids: DataFrame) -> None:
@@ -101,7 +103,7 @@ class GrowingIndex:
         return counted, marks
 
     def written(self, measured: DataFrame, now: int) -> Segment:
-        name = f"segment-{now}-{uuid4().hex}"
+        name = f"{PLACED}{now}-{uuid4().hex}"
 
         def keep(df: DataFrame, part: str, *by: str) -> DataFrame:
             path = self.path(f"{name}/{part}")
@@ -124,7 +126,7 @@ class GrowingIndex:
                 break
             kept = [s for s in segments if s not in group]
             merged = reduce(DataFrame.unionByName, [self.live(s, marks) for s in group])
-            new = self.written(merged, now)
+            new = self.written(in_places(merged), now)
             segments = [*kept, new] if new.n_passages else kept
         oldest = min((s.since for s in segments), default=now)
         marks = [m for m in marks if m[1] > oldest]
@@ -159,8 +161,11 @@ class GrowingIndex:
             if s.n_removed:
                 gone = stage(self.table(s, "passages").join(self.removed(s, marks), "doc_id", "left_semi"), "gone")
                 terms.append(gone.select(F.explode(F.map_keys("counts")).alias("term"), F.lit(-1).cast("long").alias("n")))
-                part = part_of(F.col("chunk_id"), F.lit(corpus["n_parts"])).alias("part")
-                out = stage(gone.groupBy(part).agg(F.collect_set("chunk_id").alias("out")), "out")
+                n_parts = F.lit(corpus["n_parts"])
+                part = part_of(F.col("chunk_id"), n_parts)
+                if not s.name.startswith(PLACED):
+                    part = F.pmod(F.xxhash64("chunk_id"), n_parts).cast("int")
+                out = stage(gone.groupBy(part.alias("part")).agg(F.collect_set("chunk_id").alias("out")), "out")
                 left = F.filter("items", lambda i: ~F.array_contains("out", i["chunk_id"]))
                 items = F.when(F.col("out").isNull(), F.col("items")).otherwise(left)
                 lists = lists.join(F.broadcast(out) if s.n_removed <= 1_000_000 else out, "part", "left")
