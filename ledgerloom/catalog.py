@@ -36,7 +36,12 @@ def install_order_lookup(spark: SparkSession, ns: Namespace) -> None:
 
 
 def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
-    """``search_rules(question, k)``: the ``k`` best passages of the saved index."""
+    """``search_rules(question, k)``: the ``k`` best passages of the saved index.
+
+    The terms of one question and its ``k`` passages are few, which Spark can't tell from the
+    sizes of the tables they are looked up in. It is told, or it would shuffle the whole index
+    as soon as the vocabulary is too large to be sent to all tasks.
+    """
     table = {part: ns.table(name) for part, name in NAMES.items()}
     pattern = TERM.replace("\\", "\\\\")
     spark.sql(
@@ -46,18 +51,19 @@ def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
         RETURN
           WITH wanted AS (
             SELECT DISTINCT explode(regexp_extract_all(lower(question), '{pattern}', 1)) AS term
+          ), asked AS (
+            SELECT /*+ BROADCAST(a) */ a.term, pmod(xxhash64(a.term), {BUCKETS}) AS bucket, v.df,
+                   (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
+                   (SELECT mean_terms FROM {table["corpus"]}) AS mean_terms
+            FROM wanted a JOIN {table["vocabulary"]} v ON v.term = a.term
           ), scored AS (
             SELECT p.chunk_id, sum(cast(floor((cast(floor(w.idf * (p.tf * {K1 + 1}D
                      / (p.tf + {K1}D * ({1 - B}D + {B}D * p.n_terms / w.mean_terms)))
                      * 1e12D + 0.5D) AS DOUBLE) + 500000D) / 1000000D) AS BIGINT))
                    / {STEPS}D AS score
-            FROM (SELECT a.term, a.mean_terms, b.items,
-                         ln(1 + (a.n_passages - v.df + 0.5D) / (v.df + 0.5D)) AS idf
-                  FROM (SELECT term, pmod(xxhash64(term), {BUCKETS}) AS bucket,
-                               (SELECT n_passages FROM {table["corpus"]}) AS n_passages,
-                               (SELECT mean_terms FROM {table["corpus"]}) AS mean_terms
-                        FROM wanted) a
-                  JOIN {table["vocabulary"]} v ON v.term = a.term
+            FROM (SELECT /*+ BROADCAST(a) */ a.mean_terms, b.items,
+                         ln(1 + (a.n_passages - a.df + 0.5D) / (a.df + 0.5D)) AS idf
+                  FROM asked a
                   JOIN {table["blocks"]} b ON b.bucket = a.bucket AND b.term = a.term) w,
                  LATERAL inline(w.items) AS p
             GROUP BY p.chunk_id HAVING score > 0
@@ -71,7 +77,7 @@ def install_rule_search(spark: SparkSession, ns: Namespace) -> None:
                    row_number() OVER (ORDER BY score DESC, chunk_id) AS rank
             FROM leading WHERE place <= k
           )
-          SELECT r.rank, r.chunk_id, r.score, t.text
+          SELECT /*+ BROADCAST(r) */ r.rank, r.chunk_id, r.score, t.text
           FROM ranked r JOIN {table["passages"]} t ON t.chunk_id = r.chunk_id
           WHERE r.rank <= k
         """
