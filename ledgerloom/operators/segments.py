@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.index import RulesIndex, in_places, index_measured, measure_passages, part_of
-from ledgerloom.staging import stage
+from ledgerloom.staging import SMALL, stage
 
 FAN = 4
 # A segment with a larger share of removed passages is rewritten.
@@ -107,7 +107,7 @@ class GrowingIndex:
 
         def keep(df: DataFrame, part: str, *by: str) -> DataFrame:
             path = self.path(f"{name}/{part}")
-            df.write.partitionBy(*by).parquet(path)
+            df.write.partitionBy(*by).options(**SMALL).parquet(path)
             return self.spark.read.schema(df.schema).parquet(path)
 
         made = index_measured(measured, keep)

@@ -22,18 +22,25 @@ def create_once(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def replace_table(df: DataFrame, table: str, fmt: str = "parquet", by: Sequence[str] = ()) -> DataFrame:
+def replace_table(
+    df: DataFrame,
+    table: str,
+    fmt: str = "parquet",
+    by: Sequence[str] = (),
+    options: dict[str, str] | None = None,
+) -> DataFrame:
     """Create ``table`` from ``df`` or replace its rows and schema.
 
-    The table lies in folders by the columns ``by``. ``df`` may read the table it replaces: only then is it staged first.
+    The table lies in folders by the columns ``by``; its writer gets the ``options``. ``df`` may read the table it replaces: only then is it staged first.
     """
+    options = options or {}
     try:
-        df.write.mode("overwrite").partitionBy(*by).format(fmt).saveAsTable(table)
+        df.write.mode("overwrite").partitionBy(*by).format(fmt).options(**options).saveAsTable(table)
     except AnalysisException as error:
         if not (error.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
             raise
         staged = stage(df, "replace")
-        staged.write.mode("overwrite").partitionBy(*by).format(fmt).saveAsTable(table)
+        staged.write.mode("overwrite").partitionBy(*by).format(fmt).options(**options).saveAsTable(table)
     return df.sparkSession.table(table)
 
 
