@@ -1,0 +1,40 @@
+"""Blocks are shuffled in few bytes to where they are searched."""
+
+from __future__ import annotations
+
+import pyarrow as pa
+
+from ledgerloom.operators import index as index_module
+from ledgerloom.operators.index import build_index
+from ledgerloom.operators.packing import unpacked
+from ledgerloom.operators.search import distinct_questions, pack_blocks, score_by_postings, weigh_terms
+from ledgerloom.staging import stage
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_of_a_part_are_shuffled_packed(spark, monkeypatch):
+    monkeypatch.setattr(index_module, "PART_PASSAGES", 32)
+    rows = [("d", i, f"d#{i:03}", f"the of w{i % 9}") for i in range(300)]
+    built = build_index(spark.createDataFrame(rows, "doc_id string, chunk_no int, chunk_id string, text string"))
+    asked = spark.createDataFrame([(1, "the w1 w2"), (2, "of w7")], "question_id int, text string")
+    weighted = stage(weigh_terms(distinct_questions(asked), built), "weighted")
+    plan = plan_of(score_by_postings(weighted, built, 3))
+    assert plan.count("MapInArrow pack_blocks") == 1
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line and "items" in line]
+    assert not exchanges
+
+
+def test_packed_blocks_are_those_given():
+    items = [[{"chunk_id": "b", "tf": 2, "n_terms": 9}, {"chunk_id": None, "tf": 1, "n_terms": 3}], [{"chunk_id": "b", "tf": 300, "n_terms": 9}], [{"chunk_id": "c", "tf": 1, "n_terms": 1}]]
+    kind = pa.list_(pa.struct([("chunk_id", pa.string()), ("tf", pa.int32()), ("n_terms", pa.int32())]))
+    columns = {"part": pa.array([3, 1, 3], pa.int32()), "term": ["x", "x", "y"], "items": pa.array(items, kind)}
+    [made] = pack_blocks(iter([pa.RecordBatch.from_pydict(columns)]))
+    found = []
+    for part, blob in zip(*(c.to_pylist() for c in made.columns), strict=True):
+        term, sizes, ids, own, tf, length = (x.tolist() for x in unpacked(blob))
+        postings = iter([(ids[i], t, n) for i, t, n in zip(own, tf, length, strict=True)])
+        found += [(part, t, [next(postings) for _ in range(n)]) for t, n in zip(term, sizes, strict=True)]
+    assert found == [(1, "x", [("b", 300, 9)]), (3, "x", [("b", 2, 9), (None, 1, 3)]), (3, "y", [("c", 1, 1)])]
